@@ -57,22 +57,23 @@ def blend(alpha: Column, first: Column, second: Column) -> Column:
     return alpha * first + (F.lit(1.0) - alpha) * second
 
 
-def pearson_terms(a: ItemSide, b: ItemSide, n_common: Column, products: Column) -> tuple[Column, Column, Column]:
-    """Numerator and the two squared norms over the common users, scaled to whole numbers.
+def exact_type(mode: str, largest_count: int, largest_rating: int) -> str:
+    """The cheapest exact type for the Pearson terms, given bounds on rating rows per item and on the rating.
 
-    Computed in bigint where every product is sure to fit and in 38-digit decimals elsewhere.
+    With n ratings of at most m, every term is below 4 m^2 n^3, or 12 m^2 n^5 with default voting.
     """
-    scale = F.greatest(*[F.abs(c).cast("double") for c in (a.total, a.count, b.total, b.count)])
-    bulk = F.greatest(*[F.abs(c).cast("double") for c in (
-        products, n_common, a.common_sum, b.common_sum, a.common_squares, b.common_squares)])
-    fits = scale * scale * bulk * F.lit(4.0) < F.lit(9.0e18)
+    bound = {"common": 4 * largest_rating**2 * largest_count**3,
+             "default_voting": 12 * largest_rating**2 * largest_count**5}[mode]
+    return "bigint" if bound < 2**63 else EXACT
 
-    def terms(kind: str) -> tuple[Column, Column, Column]:
-        p, q, n, ab = a.cast(kind), b.cast(kind), n_common.cast(kind), products.cast(kind)
-        return _common_product(p, q, n, ab), _common_norm(p, n), _common_norm(q, n)
 
-    narrow, wide = terms("bigint"), terms(EXACT)
-    return tuple(F.when(fits, x.cast("double")).otherwise(y.cast("double")) for x, y in zip(narrow, wide))
+def pearson_terms(a: ItemSide, b: ItemSide, n_common: Column, products: Column,
+                  kind: str = EXACT) -> tuple[Column, Column, Column]:
+    """Numerator and the two squared norms over the common users, scaled to whole numbers."""
+    a, b = a.cast(kind), b.cast(kind)
+    n, ab = n_common.cast(kind), products.cast(kind)
+    terms = _common_product(a, b, n, ab), _common_norm(a, n, kind), _common_norm(b, n, kind)
+    return tuple(x.cast("double") for x in terms)
 
 
 def _common_product(a: ItemSide, b: ItemSide, n: Column, products: Column) -> Column:
@@ -80,21 +81,21 @@ def _common_product(a: ItemSide, b: ItemSide, n: Column, products: Column) -> Co
             - b.total * a.count * a.common_sum + n * a.total * b.total)
 
 
-def _common_norm(a: ItemSide, n: Column) -> Column:
-    two = F.lit(2).cast("bigint")
+def _common_norm(a: ItemSide, n: Column, kind: str) -> Column:
+    two = F.lit(2).cast(kind)
     return a.count * a.count * a.common_squares - two * a.count * a.total * a.common_sum + n * a.total * a.total
 
 
 def default_voting_terms(a: ItemSide, b: ItemSide, n_common: Column,
-                         products: Column) -> tuple[Column, Column, Column]:
+                         products: Column, kind: str = EXACT) -> tuple[Column, Column, Column]:
     """The same three terms over the union of the users.
 
     A user who rated one item only gets, for the other, that item's average over the common users. That vote is
     a constant per pair, so totals over all users of each item suffice and the union is never formed. The
     numerator is scaled by count_a * count_b * n and the norms by count^2 * n^2; the quotient needs one factor n.
     """
-    a, b = a.cast(EXACT), b.cast(EXACT)
-    n, ab = n_common.cast(EXACT), products.cast(EXACT)
+    a, b = a.cast(kind), b.cast(kind)
+    n, ab = n_common.cast(kind), products.cast(kind)
 
     def deviation(x: ItemSide) -> Column:
         return x.count * x.common_sum - n * x.total
@@ -103,7 +104,7 @@ def default_voting_terms(a: ItemSide, b: ItemSide, n_common: Column,
         return x.count * (x.all_sum - x.common_sum) - (x.raters - n) * x.total
 
     def norm(x: ItemSide, other: ItemSide) -> Column:
-        two = F.lit(2).cast(EXACT)
+        two = F.lit(2).cast(kind)
         own = x.count * x.count * x.all_squares - two * x.count * x.total * x.all_sum + x.raters * x.total * x.total
         return n * n * own + (other.raters - n) * deviation(x) * deviation(x)
 

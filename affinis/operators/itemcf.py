@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from affinis.functions.similarity import (ItemSide, amplify, default_voting_terms, pearson_quotient, pearson_terms,
-                                          ratio_of_averages)
-from affinis.operators.staging import BLOCK, hot_keys, materialize, self_pairs, spread_join
+from affinis.functions.similarity import (ItemSide, amplify, default_voting_terms, exact_type, pearson_quotient,
+                                          pearson_terms, ratio_of_averages)
+from affinis.operators.staging import BLOCK, hot_keys, materialize, self_pairs, spread_join, wide_scan
 from affinis.operators.stats import RatingColumns, item_totals, pair_ratings, user_totals
 
 # Profiles above this size are not paired with themselves; only the pairs that are asked for are looked up.
@@ -41,9 +42,8 @@ def item_similarity(ratings: DataFrame, pairs: DataFrame | None = None, c: Ratin
     for side in ("a", "b"):
         totals = items.select(F.col("item").alias(side), *[F.col(x).alias(f"{x}_{side}") for x in ITEM_COLUMNS])
         wanted = wanted.join(totals, side)
-    similarity = _similarity(mode, min_common)
-    return wanted.select("a", "b", similarity.alias("similarity"),
-                         F.coalesce("n_common", F.lit(0)).alias("n_common"))
+    wanted = _with_similarity(wanted, item_extent(rated), mode, min_common)
+    return wanted.select("a", "b", "similarity", F.coalesce("n_common", F.lit(0)).alias("n_common"))
 
 
 def cold_start_cells(train: DataFrame, pairs: DataFrame, c: RatingColumns = RatingColumns()) -> DataFrame:
@@ -174,17 +174,43 @@ def _sum_pairs(co_rated: DataFrame) -> DataFrame:
         F.sum(ra * ra).alias("squares_a"), F.sum(rb * rb).alias("squares_b"), F.sum(ra * rb).alias("products"))
 
 
-def _similarity(mode: str, min_common: int | None) -> Column:
+TERMS: dict[str, Callable[..., tuple[Column, Column, Column]]] = {
+    "common": pearson_terms, "default_voting": default_voting_terms}
+
+
+@dataclass(frozen=True)
+class ItemExtent:
+    """Number of items, most rating rows of one item, and largest rating: what the plan is chosen by."""
+
+    items: int
+    largest_count: int
+    largest_rating: int
+
+
+def item_extent(rated: DataFrame) -> ItemExtent:
+    sizes = rated.groupBy("item").agg(F.sum("rows").alias("n"), F.max(F.abs("rating")).alias("m"))
+    items, count, rating = sizes.agg(F.count(F.lit(1)), F.max("n"), F.max("m")).first()
+    return ItemExtent(items, count or 0, rating or 0)
+
+
+def _with_similarity(rows: DataFrame, extent: ItemExtent, mode: str, min_common: int | None) -> DataFrame:
+    """Add ``similarity`` to rows that hold the totals of both items and, if any, their common sums.
+
+    The exact terms are bigint where the largest item allows it and decimals otherwise. They are columns of their
+    own, so that each is computed once and the generated code stays small enough to be compiled.
+    """
+    if mode not in TERMS:
+        raise ValueError(f"unknown similarity mode: {mode}")
+    kind = exact_type(mode, extent.largest_count, extent.largest_rating)
     a, b = [ItemSide(*[F.col(f"{x}_{s}") for x in ("total", "rows", "sum", "squares", "all_sum", "all_squares",
                                                    "raters")]) for s in ("a", "b")]
-    terms: dict[str, Callable] = {"common": pearson_terms, "default_voting": default_voting_terms}
-    if mode not in terms:
-        raise ValueError(f"unknown similarity mode: {mode}")
-    pearson = pearson_quotient(*terms[mode](a, b, F.col("n_common"), F.col("products")))
+    top, norm_a, norm_b = TERMS[mode](a, b, F.col("n_common"), F.col("products"), kind)
+    rows = rows.withColumns({"_top": top, "_norm_a": norm_a, "_norm_b": norm_b})
+    pearson = pearson_quotient(F.col("_top"), F.col("_norm_a"), F.col("_norm_b"))
     if min_common is not None:
-        pearson = F.when(F.col("n_common") < min_common, pearson / 2).otherwise(pearson)
-    return F.when(F.col("n_common").isNull(), ratio_of_averages(a.total / a.count, b.total / b.count)).otherwise(
-        pearson)
+        pearson = pearson * F.when(F.col("n_common") < min_common, F.lit(0.5)).otherwise(F.lit(1.0))
+    averages = ratio_of_averages(a.total / a.count, b.total / b.count)
+    return rows.withColumn("similarity", F.when(F.col("n_common").isNull(), averages).otherwise(pearson))
 
 
 def _targets(rated: DataFrame, pairs: DataFrame, c: RatingColumns) -> DataFrame:
@@ -205,7 +231,7 @@ def _targets(rated: DataFrame, pairs: DataFrame, c: RatingColumns) -> DataFrame:
 def _neighbours(rated: DataFrame, targets: DataFrame, mode: str, min_common: int | None, heavy_profile: int,
                 block: int) -> DataFrame:
     """``(user, item, other, rating, similarity)``: each open pair against the user's whole profile."""
-    open_pairs = targets.where(F.col("cell") == "both_known").select("user", "item", *ITEM_COLUMNS)
+    open_pairs = wide_scan(targets, "user").where(F.col("cell") == "both_known").select("user", "item", *ITEM_COLUMNS)
     totals = item_totals(rated).select("item", *[F.col(x).alias(f"other_{x}") for x in ITEM_COLUMNS])
     profile = rated.select("user", "item", "rating").join(totals, "item").withColumnRenamed("item", "other")
     sizes = rated.groupBy("user").agg(F.count(F.lit(1)).alias("_rows"))
@@ -218,9 +244,10 @@ def _neighbours(rated: DataFrame, targets: DataFrame, mode: str, min_common: int
     rows = rows.select("user", "item", "other", "rating", F.least("item", "other").alias("a"),
                        F.greatest("item", "other").alias("b"), *sides)
     wanted = rows.select("a", "b").distinct()
-    focus = materialize(open_pairs.select("item").distinct(), "focus")
-    if 2 * focus.count() > rated.agg(F.approx_count_distinct("item")).first()[0]:
-        focus = None  # most items are asked for: marking them would cost more than it saves
+    extent = item_extent(rated)
+    focus = targets.where(F.col("cell") == "both_known").select("item").distinct()
+    # where most items are asked for, marking them would cost more than it saves
+    focus = materialize(focus, "focus") if 2 * focus.count() < extent.items else None
     sums = co_rating_sums(rated, wanted, heavy_profile, block, focus)
-    rows = rows.join(sums, ["a", "b"], "left")
-    return rows.select("user", "item", "other", "rating", _similarity(mode, min_common).alias("similarity"))
+    rows = _with_similarity(rows.join(sums, ["a", "b"], "left"), extent, mode, min_common)
+    return rows.select("user", "item", "other", "rating", "similarity")

@@ -38,6 +38,15 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def wide_scan(table: DataFrame, key: str) -> DataFrame:
+    """Spread a stored table over all cores where its files give fewer splits than that.
+
+    For use before a step that multiplies rows. Large tables have more splits than cores and stay as they are.
+    """
+    cores = table.sparkSession.sparkContext.defaultParallelism
+    return table.repartition(cores, key) if table.rdd.getNumPartitions() < cores else table
+
+
 def hot_keys(rows: DataFrame, on: list[str], block: int, out: str, sizes: DataFrame | None = None) -> DataFrame | None:
     """Keys that more than ``block`` rows share, with the number of blocks they need; None if there are none.
 

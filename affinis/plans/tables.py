@@ -7,11 +7,12 @@ cold-start cells occur.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from affinis.functions.hashing import hash_fraction
 from affinis.operators.features import COMPLIMENT_FEATURES
+from affinis.operators.staging import wide_scan
 from affinis.operators.stats import RatingColumns, latest_ratings
 
 COLUMNS = RatingColumns(user="user_id", item="item_id", stars="stars", order=("ok", "ln", "sk"))
@@ -26,20 +27,23 @@ def ratings(spark: SparkSession, folder: str) -> DataFrame:
     return _rated_lines(spark, folder).select("user_id", "item_id", "stars", "ok", "ln", "sk")
 
 
-def _rated_lines(spark: SparkSession, folder: str) -> DataFrame:
+def _rated_lines(spark: SparkSession, folder: str, *order_columns: Column) -> DataFrame:
     stars = F.least(F.lit(5).cast("bigint"), F.ceil(F.col("l_quantity") / 10).cast("bigint"))
     lines = table(spark, folder, "lineitem").select(
         F.col("l_orderkey").alias("ok"), F.col("l_linenumber").alias("ln"), F.col("l_suppkey").alias("sk"),
         F.col("l_partkey").alias("item_id"), stars.alias("stars"), "l_returnflag")
     orders = table(spark, folder, "orders").select(F.col("o_orderkey").alias("ok"), F.col("o_custkey").alias("user_id"))
-    return lines.join(orders, "ok")
+    return wide_scan(lines, "ok").join(orders.select("*", *order_columns), "ok")
 
 
 def train_and_test_rows(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
-    held_out = ((hash_fraction("ok", seed="order") < TEST_ORDERS) | (hash_fraction("user_id", seed="user") < COLD_USERS)
-                | (hash_fraction("item_id", seed="item") < COLD_ITEMS))
-    rows = ratings(spark, folder)
-    return rows.where(~held_out), rows.where(held_out)
+    # order and user are the same for all lines of an order, so their hashes are taken before the join
+    by_order = (hash_fraction("ok", seed="order") < TEST_ORDERS) | (hash_fraction("user_id", seed="user") < COLD_USERS)
+    by_item = hash_fraction("item_id", seed="item") < COLD_ITEMS
+    rows = _rated_lines(spark, folder, by_order.alias("by_order"))
+    held_out = F.col("by_order") | by_item
+    columns = ("user_id", "item_id", "stars", "ok", "ln", "sk")
+    return rows.where(~held_out).select(*columns), rows.where(held_out).select(*columns)
 
 
 def train(spark: SparkSession, folder: str) -> DataFrame:
@@ -85,7 +89,8 @@ def items(spark: SparkSession, folder: str) -> DataFrame:
 def shingles(spark: SparkSession, folder: str, width: int = 3) -> DataFrame:
     """Baskets of documents: every run of three words of the whole text, once per document."""
     words = F.split(F.lower("text"), "[^a-z0-9]+")
-    docs = table(spark, folder, "documents").select(F.col("doc_id").alias("item"), words.alias("t"))
+    docs = wide_scan(table(spark, folder, "documents").select("doc_id", "text"), "doc_id")
+    docs = docs.select(F.col("doc_id").alias("item"), words.alias("t"))
     starts = F.sequence(F.lit(1), F.size("t") - (width - 1))
     runs = F.transform(starts, lambda i: F.array_join(F.slice("t", i, width), " "))
     return docs.where(F.size("t") >= width).select("item", F.explode(F.array_distinct(runs)).alias("member"))
