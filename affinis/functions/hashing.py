@@ -16,13 +16,11 @@ def hash_fraction(*columns: str, seed: int | str = 0) -> Column:
     return head / F.lit(4294967296.0)
 
 
-def linear_hash(index: int, code: Column, modulus: int) -> Column:
-    """Member of the MinHash family: ``(index * code + 1) mod modulus``."""
-    if index == 0:
-        return F.lit(1 % modulus).cast("bigint")
-    return (code * F.lit(index) + F.lit(1)) % F.lit(modulus).cast("bigint")
+def linear_hash(index: int, code: str, modulus: int) -> str:
+    """SQL of one member of the MinHash family: ``(index * code + 1) mod modulus``."""
+    return f"({index}L * {code} + 1L) % {modulus}L"
 
 
-def universal_hash(multiplier: int, offset: int, code: Column, prime: int) -> Column:
-    """Member of the universal family: ``(multiplier * code + offset) mod prime``."""
-    return (code * F.lit(multiplier) + F.lit(offset)) % F.lit(prime).cast("bigint")
+def universal_hash(multiplier: int, offset: int, code: str, prime: int) -> str:
+    """SQL of one member of the universal family: ``(multiplier * code + offset) mod prime``."""
+    return f"({multiplier}L * ({code} % {prime}L) + {offset}L) % {prime}L"

@@ -7,38 +7,12 @@ test "numerator is zero" does not depend on the order of summation.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 EXACT = "decimal(38,0)"
 
 
-@dataclass(frozen=True)
-class ItemSide:
-    """One item of a pair: raw sum and count, and its sums over the common users.
-
-    ``all_sum``, ``all_squares`` and ``raters`` run over all distinct users of the item and are needed by
-    default voting only.
-    """
-
-    total: Column
-    count: Column
-    common_sum: Column
-    common_squares: Column
-    all_sum: Column | None = None
-    all_squares: Column | None = None
-    raters: Column | None = None
-
-    def cast(self, kind: str) -> "ItemSide":
-        def to(c):
-            return None if c is None else c.cast(kind)
-
-        return ItemSide(to(self.total), to(self.count), to(self.common_sum), to(self.common_squares),
-                        to(self.all_sum), to(self.all_squares), to(self.raters))
-
-
 def jaccard(common: Column, size_a: Column, size_b: Column) -> Column:
     return common / (size_a + size_b - common)
 
@@ -67,49 +41,68 @@ def exact_type(mode: str, largest_count: int, largest_rating: int) -> str:
     return "bigint" if bound < 2**63 else EXACT
 
 
-def pearson_terms(a: ItemSide, b: ItemSide, n_common: Column, products: Column,
-                  kind: str = EXACT) -> tuple[Column, Column, Column]:
-    """Numerator and the two squared norms over the common users, scaled to whole numbers."""
-    a, b = a.cast(kind), b.cast(kind)
-    n, ab = n_common.cast(kind), products.cast(kind)
-    terms = _common_product(a, b, n, ab), _common_norm(a, n, kind), _common_norm(b, n, kind)
-    return tuple(x.cast("double") for x in terms)
-
-
-def _common_product(a: ItemSide, b: ItemSide, n: Column, products: Column) -> Column:
-    return (a.count * b.count * products - a.total * b.count * b.common_sum
-            - b.total * a.count * a.common_sum + n * a.total * b.total)
-
+def pearson_terms(kind: str = EXACT) -> dict[str, str]:
+    """SQL of the numerator ``top`` and the squared norms over the common users, scaled to whole numbers.
 
-def _common_norm(a: ItemSide, n: Column, kind: str) -> Column:
-    two = F.lit(2).cast(kind)
-    return a.count * a.count * a.common_squares - two * a.count * a.total * a.common_sum + n * a.total * a.total
+    The columns of a pair are, for both items x in a and b: ``total_x`` and ``rows_x`` (sum and count of all its
+    ratings), ``sum_x`` and ``squares_x`` (over the common users); and ``products`` and ``n_common``.
+    """
+    return {"top": _as_double(_common_product(kind)), "norm_a": _as_double(_common_norm("a", kind)),
+            "norm_b": _as_double(_common_norm("b", kind))}
 
 
-def default_voting_terms(a: ItemSide, b: ItemSide, n_common: Column,
-                         products: Column, kind: str = EXACT) -> tuple[Column, Column, Column]:
+def default_voting_terms(kind: str = EXACT) -> dict[str, str]:
     """The same three terms over the union of the users.
 
     A user who rated one item only gets, for the other, that item's average over the common users. That vote is
-    a constant per pair, so totals over all users of each item suffice and the union is never formed. The
-    numerator is scaled by count_a * count_b * n and the norms by count^2 * n^2; the quotient needs one factor n.
+    a constant per pair, so totals over all users of each item suffice and the union is never formed: ``all_sum_x``,
+    ``all_squares_x`` and ``raters_x`` over all distinct users of x. The numerator is scaled by rows_a * rows_b * n
+    and the norms by rows^2 * n^2; the quotient needs one factor n.
     """
-    a, b = a.cast(kind), b.cast(kind)
-    n, ab = n_common.cast(kind), products.cast(kind)
+    n = _exact("n_common", kind)
+
+    def parts(x: str) -> dict[str, str]:
+        return {c: _exact(f"{c}_{x}", kind) for c in (
+            "total", "rows", "sum", "all_sum", "all_squares", "raters")}
+
+    def deviation(x: str) -> str:
+        v = parts(x)
+        return f"({v['rows']} * {v['sum']} - {n} * {v['total']})"
+
+    def only(x: str) -> str:
+        v = parts(x)
+        return f"({v['rows']} * ({v['all_sum']} - {v['sum']}) - ({v['raters']} - {n}) * {v['total']})"
+
+    def norm(x: str, other: str) -> str:
+        v, others = parts(x), _exact(f"raters_{other}", kind)
+        own = (f"({v['rows']} * {v['rows']} * {v['all_squares']} - {_exact('2', kind)} * {v['rows']} * {v['total']} "
+               f"* {v['all_sum']} + {v['raters']} * {v['total']} * {v['total']})")
+        return f"{n} * {n} * {own} + ({others} - {n}) * {deviation(x)} * {deviation(x)}"
+
+    top = (f"{n} * ({n} * ({_common_product(kind)}) + {only('a')} * {deviation('b')}"
+           f" + {only('b')} * {deviation('a')})")
+    return {"top": _as_double(top), "norm_a": _as_double(norm("a", "b")), "norm_b": _as_double(norm("b", "a"))}
+
+
+def _exact(column: str, kind: str) -> str:
+    return f"CAST({column} AS {kind})"
+
+
+def _as_double(sql: str) -> str:
+    return f"CAST({sql} AS double)"
 
-    def deviation(x: ItemSide) -> Column:
-        return x.count * x.common_sum - n * x.total
 
-    def only(x: ItemSide) -> Column:
-        return x.count * (x.all_sum - x.common_sum) - (x.raters - n) * x.total
+def _common_product(kind: str) -> str:
+    names = ("total_a", "rows_a", "sum_a", "total_b", "rows_b", "sum_b", "n_common", "products")
+    total_a, rows_a, sum_a, total_b, rows_b, sum_b, n, products = [_exact(x, kind) for x in names]
+    return (f"{rows_a} * {rows_b} * {products} - {total_a} * {rows_b} * {sum_b}"
+            f" - {total_b} * {rows_a} * {sum_a} + {n} * {total_a} * {total_b}")
 
-    def norm(x: ItemSide, other: ItemSide) -> Column:
-        two = F.lit(2).cast(kind)
-        own = x.count * x.count * x.all_squares - two * x.count * x.total * x.all_sum + x.raters * x.total * x.total
-        return n * n * own + (other.raters - n) * deviation(x) * deviation(x)
 
-    top = n * _common_product(a, b, n, ab) + only(a) * deviation(b) + only(b) * deviation(a)
-    return (top * n).cast("double"), norm(a, b).cast("double"), norm(b, a).cast("double")
+def _common_norm(x: str, kind: str) -> str:
+    names = (f"total_{x}", f"rows_{x}", f"sum_{x}", f"squares_{x}", "n_common", "2")
+    total, rows, part, squares, n, two = [_exact(c, kind) for c in names]
+    return f"{rows} * {rows} * {squares} - {two} * {rows} * {total} * {part} + {n} * {total} * {total}"
 
 
 def pearson_quotient(top: Column, norm_a: Column, norm_b: Column) -> Column:

@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from affinis.functions.similarity import (ItemSide, amplify, default_voting_terms, exact_type, pearson_quotient,
-                                          pearson_terms, ratio_of_averages)
+from affinis.functions.similarity import (amplify, default_voting_terms, exact_type, pearson_quotient, pearson_terms,
+                                          ratio_of_averages)
 from affinis.operators.staging import BLOCK, hot_keys, materialize, self_pairs, spread_join, wide_scan
 from affinis.operators.stats import RatingColumns, item_totals, pair_ratings, user_totals
 
@@ -174,8 +173,7 @@ def _sum_pairs(co_rated: DataFrame) -> DataFrame:
         F.sum(ra * ra).alias("squares_a"), F.sum(rb * rb).alias("squares_b"), F.sum(ra * rb).alias("products"))
 
 
-TERMS: dict[str, Callable[..., tuple[Column, Column, Column]]] = {
-    "common": pearson_terms, "default_voting": default_voting_terms}
+TERMS = {"common": pearson_terms, "default_voting": default_voting_terms}
 
 
 @dataclass(frozen=True)
@@ -202,14 +200,11 @@ def _with_similarity(rows: DataFrame, extent: ItemExtent, mode: str, min_common:
     if mode not in TERMS:
         raise ValueError(f"unknown similarity mode: {mode}")
     kind = exact_type(mode, extent.largest_count, extent.largest_rating)
-    a, b = [ItemSide(*[F.col(f"{x}_{s}") for x in ("total", "rows", "sum", "squares", "all_sum", "all_squares",
-                                                   "raters")]) for s in ("a", "b")]
-    top, norm_a, norm_b = TERMS[mode](a, b, F.col("n_common"), F.col("products"), kind)
-    rows = rows.withColumns({"_top": top, "_norm_a": norm_a, "_norm_b": norm_b})
+    rows = rows.withColumns({f"_{name}": F.expr(sql) for name, sql in TERMS[mode](kind).items()})
     pearson = pearson_quotient(F.col("_top"), F.col("_norm_a"), F.col("_norm_b"))
     if min_common is not None:
         pearson = pearson * F.when(F.col("n_common") < min_common, F.lit(0.5)).otherwise(F.lit(1.0))
-    averages = ratio_of_averages(a.total / a.count, b.total / b.count)
+    averages = ratio_of_averages(F.col("total_a") / F.col("rows_a"), F.col("total_b") / F.col("rows_b"))
     return rows.withColumn("similarity", F.when(F.col("n_common").isNull(), averages).otherwise(pearson))
 
 

@@ -76,12 +76,12 @@ def spread_join(left: DataFrame, right: DataFrame, on: list[str], condition: Col
 
 
 def self_pairs(rows: DataFrame, on: list[str], item: str, carry: tuple[str, ...] = (),
-               condition: Column | None = None, block: int = BLOCK) -> DataFrame:
+               condition: Column | None = None, block: int = BLOCK, sizes: DataFrame | None = None) -> DataFrame:
     """Pairs ``item_a < item_b`` of rows that share ``on``; carried columns get the suffixes ``_a`` and ``_b``.
 
     Cut into blocks like ``spread_join``: a hot group is spread over as many keys as it has block pairs.
     """
-    hot = hot_keys(rows, on, block, "_lblocks")
+    hot = hot_keys(rows, on, block, "_lblocks", sizes)
     left = rows.select(*on, *[F.col(c).alias(f"{c}_a") for c in (item, *carry)])
     right = rows.select(*on, *[F.col(c).alias(f"{c}_b") for c in (item, *carry)])
     ordered = F.col(f"{item}_a") < F.col(f"{item}_b")
