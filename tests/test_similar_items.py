@@ -42,13 +42,14 @@ def test_exact_pairs_survive_hot_groups_and_giant_sets(spark, block, giant):
     assert found == pytest.approx(brute.similar_pairs(rows, 0.4))
 
 
-@pytest.mark.parametrize("block", [20_000, 3])
-def test_lsh_pairs_are_the_similar_pairs_that_share_a_bucket(spark, block):
+@pytest.mark.parametrize("block,crowded,giant", [(20_000, 1_000, 1_000_000), (3, 3, 1_000_000), (20_000, 2, 4)])
+def test_lsh_pairs_are_the_similar_pairs_that_share_a_bucket(spark, block, crowded, giant):
     rows = random_baskets(3)
     df = spark.createDataFrame(rows, SCHEMA)
     buckets = brute.bucket_pairs(rows, 12, 2)
     expected = {p: s for p, s in brute.similar_pairs(rows, 0.5).items() if p in buckets}
-    found = pairs(af.similar_items_lsh(df, "item", "member", bands=12, rows=2, block=block))
+    found = pairs(af.similar_items_lsh(df, "item", "member", bands=12, rows=2, crowded=crowded, block=block,
+                                       giant=giant))
     assert expected and found == pytest.approx(expected)
 
 
@@ -79,7 +80,7 @@ def test_one_member_in_a_third_of_all_rows(spark):
     expected = brute.similar_pairs(rows, 0.6)
     assert pairs(af.similar_items_exact(df, "item", "member", 0.6, block=50)) == pytest.approx(expected)
     buckets = brute.bucket_pairs(rows, 10, 2)
-    found = pairs(af.similar_items_lsh(df, "item", "member", 10, 2, 0.6, block=50))
+    found = pairs(af.similar_items_lsh(df, "item", "member", 10, 2, 0.6, crowded=40, block=50))
     assert found == pytest.approx({p: s for p, s in expected.items() if p in buckets})
 
 
