@@ -9,8 +9,9 @@ from affinis.operators.stats import RatingColumns
 
 
 def rmse(predictions: DataFrame, truth: DataFrame, c: RatingColumns = RatingColumns()) -> DataFrame:
-    """One row ``(rows, rmse)`` over the rows matched by user and item."""
-    both = predictions.select(*c.pair, "prediction").join(truth.select(*c.pair, c.stars), c.pair)
+    """One row ``(rows, rmse)`` over the rows of ``truth`` that have a prediction for their user and item."""
+    by_pair = predictions.groupBy(*c.pair).agg(F.max("prediction").alias("prediction"))
+    both = by_pair.join(truth.select(*c.pair, c.stars), c.pair)
     error = F.pow(F.col("prediction") - F.col(c.stars), F.lit(2.0))
     return both.agg(F.count(F.lit(1)).alias("rows"), F.sqrt(F.avg(error)).alias("rmse"))
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from affinis.functions.similarity import (amplify, default_voting_terms, exact_type, pearson_quotient, pearson_terms,
                                           ratio_of_averages)
-from affinis.operators.staging import BLOCK, hot_keys, materialize, self_pairs, spread_join, wide_scan
+from affinis.operators.staging import BLOCK, hot_keys, materialize, self_pairs, spread_join
 from affinis.operators.stats import RatingColumns, item_totals, pair_ratings, user_totals
 
 # Profiles above this size are not paired with themselves; only the pairs that are asked for are looked up.
@@ -226,11 +226,12 @@ def _targets(rated: DataFrame, pairs: DataFrame, c: RatingColumns) -> DataFrame:
 def _neighbours(rated: DataFrame, targets: DataFrame, mode: str, min_common: int | None, heavy_profile: int,
                 block: int) -> DataFrame:
     """``(user, item, other, rating, similarity)``: each open pair against the user's whole profile."""
-    open_pairs = wide_scan(targets, "user").where(F.col("cell") == "both_known").select("user", "item", *ITEM_COLUMNS)
+    open_pairs = targets.where(F.col("cell") == "both_known").select("user", "item", *ITEM_COLUMNS)
     totals = item_totals(rated).select("item", *[F.col(x).alias(f"other_{x}") for x in ITEM_COLUMNS])
     profile = rated.select("user", "item", "rating").join(totals, "item").withColumnRenamed("item", "other")
     sizes = rated.groupBy("user").agg(F.count(F.lit(1)).alias("_rows"))
-    rows = spread_join(open_pairs, profile, ["user"], block=block, right_sizes=sizes)
+    # Rows multiply here: a shuffle by user keeps all tasks busy where a small broadcast side would not.
+    rows = spread_join(open_pairs.hint("merge"), profile, ["user"], block=block, right_sizes=sizes)
     first = F.col("item") < F.col("other")
     sides = []
     for x in ITEM_COLUMNS:

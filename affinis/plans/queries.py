@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import affinis as af
+from affinis.operators.staging import materialize
 from affinis.plans import tables as t
 
 C = t.COLUMNS
@@ -115,40 +116,44 @@ def label_encode(spark, folder):
     return train.withColumn("part", F.lit("train")).unionByName(test.withColumn("part", F.lit("test")))
 
 
-def _stats(spark, folder):
-    return af.user_rating_stats(t.train(spark, folder), t.users(spark, folder), t.items(spark, folder), C)
+class _Inputs:
+    """The tables of a model query, stored once because several steps read each of them."""
 
+    def __init__(self, spark, folder, users):
+        self.train = materialize(t.train(spark, folder).select(*C.pair, "stars", *C.order), "train")
+        self.test = materialize(t.test(spark, folder), "test")
+        self.users = materialize(users(spark, folder), "users")
+        self.items = materialize(t.items(spark, folder), "items")
 
-def _model_train(spark, folder):
-    return af.build_features(t.train(spark, folder).select(*C.pair, "stars"), t.users(spark, folder),
-                             t.items(spark, folder), _stats(spark, folder), "inner", C)
+    def model_features(self, rows, how):
+        stats = af.user_rating_stats(self.train, self.users, self.items, C)
+        return af.build_features(rows, self.users, self.items, stats, how, C)
 
-
-def _model_test(spark, folder):
-    return af.build_features(t.test(spark, folder).select(*C.pair), t.users(spark, folder), t.items(spark, folder),
-                             _stats(spark, folder), "left", C)
-
-
-def _hybrid_features(spark, folder, rows, how):
-    names = tuple(x for x in af.HYBRID_FEATURES if not x.startswith("business_"))
-    return af.build_features(rows, t.hybrid_users(spark, folder), t.items(spark, folder), None, how, C, names)
+    def hybrid_features(self, rows, how):
+        names = tuple(x for x in af.HYBRID_FEATURES if not x.startswith("business_"))
+        return af.build_features(rows, self.users, self.items, None, how, C, names)
 
 
 def train_features(spark, folder):
-    return rounded(_model_train(spark, folder), "user_variance")
+    inputs = _Inputs(spark, folder, t.users)
+    return rounded(inputs.model_features(inputs.train.select(*C.pair, "stars"), "inner"), "user_variance")
 
 
 def test_features(spark, folder):
-    return rounded(_model_test(spark, folder), "user_variance")
+    inputs = _Inputs(spark, folder, t.users)
+    return rounded(inputs.model_features(inputs.test.select(*C.pair), "left"), "user_variance")
 
 
 def hybrid_features(spark, folder):
-    return _hybrid_features(spark, folder, t.test(spark, folder).select(*C.pair), "left")
+    inputs = _Inputs(spark, folder, t.hybrid_users)
+    return inputs.hybrid_features(inputs.test.select(*C.pair), "left")
 
 
 def model_predictions(spark, folder):
-    model = af.fit_model(_model_train(spark, folder), af.MODEL_FEATURES, C, **TREES)
-    return af.predict_model(model, _model_test(spark, folder), af.MODEL_FEATURES, C)
+    inputs = _Inputs(spark, folder, t.users)
+    train = inputs.model_features(inputs.train.select(*C.pair, "stars"), "inner")
+    model = af.fit_model(train, af.MODEL_FEATURES, C, **TREES)
+    return af.predict_model(model, inputs.model_features(inputs.test.select(*C.pair), "left"), af.MODEL_FEATURES, C)
 
 
 def hybrid_weight(spark, folder, **options):
@@ -170,12 +175,11 @@ def hybrid_cf_useravg(spark, folder):
 
 
 def hybrid_predictions(spark, folder):
-    train, test = t.train(spark, folder), t.test(spark, folder)
+    inputs = _Inputs(spark, folder, t.hybrid_users)
+    train, test = inputs.train, inputs.test
     cf = af.predict_item_cf(train, test, C, rho=6.0, distinct=True)
-    model = af.fit_model(_hybrid_features(spark, folder, train.select(*C.pair, "stars"), "inner"),
-                         af.HYBRID_FEATURES, C, **TREES)
-    scored = af.predict_model(model, _hybrid_features(spark, folder, test.select(*C.pair), "left"),
-                              af.HYBRID_FEATURES, C)
+    model = af.fit_model(inputs.hybrid_features(train.select(*C.pair, "stars"), "inner"), af.HYBRID_FEATURES, C, **TREES)
+    scored = af.predict_model(model, inputs.hybrid_features(test.select(*C.pair), "left"), af.HYBRID_FEATURES, C)
     return af.predict_hybrid(cf, scored, af.hybrid_weight(train, test, C), C)
 
 
