@@ -96,7 +96,7 @@ def predict_item_cf(train: DataFrame, pairs: DataFrame, c: RatingColumns = Ratin
         "copies")
     if rescale:
         result = rescale_predictions(result)
-    return result.drop("copies") if distinct else repeat_rows(result)
+    return result.drop("copies") if distinct else repeat_rows(result, targets.agg(F.max("copies")).first()[0] or 0)
 
 
 def rescale_predictions(predictions: DataFrame, low: float = 1.0, high: float = 5.0) -> DataFrame:
@@ -109,13 +109,19 @@ def rescale_predictions(predictions: DataFrame, low: float = 1.0, high: float =
     return predictions.withColumn("prediction", scaled)
 
 
-def repeat_rows(df: DataFrame, copies: str = "copies", chunk: int = 100_000) -> DataFrame:
-    """Each row ``copies`` times. Large counts are expanded in chunks, so no long array is built."""
-    last = F.ceil(F.col(copies) / F.lit(chunk)).cast("bigint") - F.lit(1)
-    df = df.withColumn("_chunk", F.explode(F.sequence(F.lit(0).cast("bigint"), last)))
-    left = F.least(F.lit(chunk).cast("bigint"), F.col(copies) - F.col("_chunk") * F.lit(chunk))
-    return df.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), left))).drop(
-        "_chunk", "_copy", copies)
+def repeat_rows(df: DataFrame, largest: int, chunk: int = 100_000) -> DataFrame:
+    """Each row ``copies`` times, without that column; ``largest`` is the largest number of copies.
+
+    Counts above ``chunk`` are cut into chunks that are dealt out over the tasks, so no task writes all copies of a
+    row and no long array is built.
+    """
+    kept = [x for x in df.columns if x != "copies"]
+    if largest <= 1:
+        return df.select(*kept)
+    if largest > chunk:
+        df = df.withColumn("_chunk", F.expr(f"explode(sequence(0L, (copies - 1) div {chunk}L))"))
+        df = df.withColumn("copies", F.expr(f"least({chunk}L, copies - _chunk * {chunk}L)")).repartition(*kept, "_chunk")
+    return df.withColumn("_copy", F.expr("explode(sequence(1L, copies))")).select(*kept)
 
 
 SUMS = ("sum_a", "sum_b", "squares_a", "squares_b", "products")

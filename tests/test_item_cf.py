@@ -140,8 +140,10 @@ def test_every_test_row_gets_a_prediction(spark):
 
 def test_repeated_rows_are_expanded_in_chunks(spark):
     df = spark.createDataFrame([("a", 1), ("b", 10), ("c", 11), ("d", 25)], "x string, copies bigint")
-    counts = {r.x: r["count"] for r in repeat_rows(df, chunk=10).groupBy("x").count().collect()}
-    assert counts == {"a": 1, "b": 10, "c": 11, "d": 25}
+    for chunk in (10, 1000):
+        rows = repeat_rows(df, 25, chunk)
+        assert rows.columns == ["x"]
+        assert {r.x: r["count"] for r in rows.groupBy("x").count().collect()} == {"a": 1, "b": 10, "c": 11, "d": 25}
 
 
 def test_options(spark):
