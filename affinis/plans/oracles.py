@@ -13,7 +13,7 @@ def _fraction(seed: str, *columns: str) -> str:
 
 def _compliments() -> str:
     kinds = [x for x in COMPLIMENT_FEATURES if x not in ("funny", "cool")]
-    parts = ["count(*) FILTER (WHERE l_returnflag = 'A') AS funny", "count(*) FILTER (WHERE l_returnflag = 'N') AS cool"]
+    parts = [f"count(*) FILTER (WHERE l_returnflag = '{flag}') AS {x}" for x, flag in (("funny", "A"), ("cool", "N"))]
     parts += [f"count(*) FILTER (WHERE p_size % {len(kinds)} = {i}) AS {x}" for i, x in enumerate(kinds)]
     return ", ".join(parts)
 
