@@ -36,8 +36,8 @@ CTES = {
         WHERE user_id IN (SELECT c_custkey FROM customer WHERE c_acctbal >= 0) GROUP BY 1""",
     "hybrid_users": f"""SELECT user_id, {PROFILE}, {_compliments()} FROM ratings JOIN part ON item_id = p_partkey
         WHERE user_id IN (SELECT c_custkey FROM customer WHERE c_acctbal >= 0) GROUP BY 1""",
-    "items": """SELECT item_id, ((4 * sum(stars)::BIGINT + count(*)) // (2 * count(*))) / 2.0::DOUBLE AS business_avg_stars,
-        count(*) AS business_rev_count FROM ratings
+    "items": """SELECT item_id,
+        ((4 * sum(stars)::BIGINT + count(*)) // (2 * count(*))) / 2.0::DOUBLE AS business_avg_stars, count(*) AS business_rev_count FROM ratings
         WHERE item_id IN (SELECT p_partkey FROM part WHERE p_size > 1) GROUP BY 1""",
     "stats": """SELECT user_id, avg(pow(stars - average_stars, 2)) AS user_variance, max(stars) AS user_max,
         min(stars) AS user_min, count(*) AS rating_rows, var_samp(stars) AS sample
