@@ -2,12 +2,35 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import os
+import tempfile
+import zipfile
+from pathlib import Path
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from affinis.operators.staging import materialize
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once an application, unless their path has it already."""
+    package = Path(__file__).resolve().parents[1]
+    paths = [Path(p).resolve() for p in os.environ.get("PYTHONPATH", "").split(os.pathsep) if p]
+    app = spark.sparkContext.applicationId
+    if package.parent in paths or app in _SHIPPED:
+        return
+    archive = f"{tempfile.mkdtemp()}/{package.name}.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for file in sorted(package.rglob("*.py")):
+            out.write(file, file.relative_to(package.parent))
+    spark.sparkContext.addPyFile(archive)
+    _SHIPPED.add(app)
+
+
 def text_of(column: str = "text") -> Column:
     """The text, with null read as empty."""
     return F.coalesce(F.col(column).cast("string"), F.lit(""))

@@ -2,21 +2,66 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from affinis.llm.common import ship_package
+from affinis.llm.decontaminate import contaminated, with_parts
+from affinis.llm.language import identify, page_records, train
+from affinis.llm.mixing import plan_mix
 from affinis.llm.near_dedup import near_duplicates
+from affinis.llm.token_files import tokens_by_document
+from affinis.llm.tokens import token_counts
+
+TOKENIZER = "byte_bpe_50k.json"
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship_package(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes and tokens of every document."""
+    return token_counts(_table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
+
+
+def op2_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold a test item, with the item."""
+    return contaminated(_table(spark, sf_dir, "documents"), with_parts(_table(spark, sf_dir, "benchmark")))
+
+
+def op3_mixing_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that the mix takes of every document."""
+    return plan_mix(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
 def op6_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Class, class size and links of every document."""
     return near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Place, length and checksum of every document's ids, read back from the token files."""
+    return tokens_by_document(_table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
+
+
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document (declared: ``lang``, host: ``source``) and of every page (markup, address)."""
+    docs = _table(spark, sf_dir, "documents")
+    texts = docs.select("doc_id", F.lit(None).cast("long").alias("page_id"), "text", F.col("lang").alias("declared"),
+                        F.col("source").alias("host"))
+    pages = page_records(_table(spark, sf_dir, "pages")).withColumn("doc_id", F.lit(None).cast("long"))
+    return identify(texts.unionByName(pages), train(docs))
+
+
 QUERIES = {
+    "op1_token_counts": op1_token_counts,
+    "op2_benchmark_decontamination": op2_benchmark_decontamination,
+    "op3_mixing_sources": op3_mixing_sources,
     "op6_minhash_near_dedup": op6_minhash_near_dedup,
+    "op7_token_files": op7_token_files,
+    "op8_language_id": op8_language_id,
 }
 ORACLES: dict[str, str] = {}
