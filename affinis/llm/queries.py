@@ -11,6 +11,10 @@ from affinis.llm.decontaminate import contaminated, with_parts
 from affinis.llm.language import identify, page_records, train
 from affinis.llm.mixing import plan_mix
 from affinis.llm.near_dedup import near_duplicates
+from affinis.llm.ordinal import score
+from affinis.llm.ordinal import train as train_grades
+from affinis.llm.pii import personal_data
+from affinis.llm.resharding import OLD_SHARDS, reshard
 from affinis.llm.token_files import tokens_by_document
 from affinis.llm.tokens import token_counts
 
@@ -37,6 +41,20 @@ def op3_mixing_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plan_mix(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Expected grade, probability of each grade or more, and selection of every document; grade: quality, and one more if not toxic."""
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    return score(docs, train_grades(docs, labels.select("doc_id", (F.col("quality") + 1 - F.col("toxic")).alias("grade"))))
+
+
+def op5_resharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """New shard and slot of every document, from shards by a hash of the id to shards of equal bytes."""
+    docs = _table(spark, sf_dir, "documents")
+    old = F.pmod(F.xxhash64("doc_id"), F.lit(OLD_SHARDS))
+    return reshard(docs, old).select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+                                     F.lit(None).cast("int").alias("grown_shard"), "old_shard")
+
+
 def op6_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Class, class size and links of every document."""
     return near_duplicates(_table(spark, sf_dir, "documents"))
@@ -56,12 +74,20 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(texts.unionByName(pages), train(docs))
 
 
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spans of personal data of every document, plain and disguised."""
+    return personal_data(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_token_counts": op1_token_counts,
     "op2_benchmark_decontamination": op2_benchmark_decontamination,
     "op3_mixing_sources": op3_mixing_sources,
+    "op4_quality_classifier": op4_quality_classifier,
+    "op5_resharding": op5_resharding,
     "op6_minhash_near_dedup": op6_minhash_near_dedup,
     "op7_token_files": op7_token_files,
     "op8_language_id": op8_language_id,
+    "op10_pii": op10_pii,
 }
 ORACLES: dict[str, str] = {}

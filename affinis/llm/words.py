@@ -84,14 +84,19 @@ def _powers(n: int) -> np.ndarray:
     return _POWERS[0][:n]
 
 
-def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all words in order, and for each text the place of its first word (one more entry at the end)."""
+def word_hashes(texts: pa.Array, stem: int = 0) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all words in order, and for each text the place of its first word (one more entry at the end).
+
+    With ``stem``, of the first so many bytes of each word.
+    """
     raw, offsets = spaced(texts)
     if not len(raw):
         return np.zeros(0, _U), np.zeros(len(texts) + 1, np.int64)
     inside = raw != 32
     edges = np.flatnonzero(np.diff(inside.view(np.int8), prepend=0, append=0))
     begin, end = edges[0::2], edges[1::2]
+    if stem:
+        end = np.minimum(end, begin + stem)
     sums = np.zeros(len(raw) + 1, _U)
     np.cumsum(raw.astype(_U) * _powers(len(raw)), out=sums[1:])
     shift = _inverse_powers(len(raw))[begin]
