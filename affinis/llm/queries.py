@@ -15,6 +15,7 @@ from affinis.llm.ordinal import score
 from affinis.llm.ordinal import train as train_grades
 from affinis.llm.pii import personal_data
 from affinis.llm.resharding import OLD_SHARDS, reshard
+from affinis.llm.search import search
 from affinis.llm.token_files import tokens_by_document
 from affinis.llm.tokens import token_counts
 
@@ -74,6 +75,12 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(texts.unionByName(pages), train(docs))
 
 
+def op9_exact_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents for every document whose id is divisible by 20, its whole text being the query."""
+    docs = _table(spark, sf_dir, "documents")
+    return search(docs, docs.where(F.col("doc_id") % 20 == 0).select(F.col("doc_id").alias("query_id"), "text"))
+
+
 def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Spans of personal data of every document, plain and disguised."""
     return personal_data(_table(spark, sf_dir, "documents"))
@@ -88,6 +95,7 @@ QUERIES = {
     "op6_minhash_near_dedup": op6_minhash_near_dedup,
     "op7_token_files": op7_token_files,
     "op8_language_id": op8_language_id,
+    "op9_exact_search": op9_exact_search,
     "op10_pii": op10_pii,
 }
 ORACLES: dict[str, str] = {}
