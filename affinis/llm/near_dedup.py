@@ -12,7 +12,11 @@ ends as soon as its time exceeds the latest register of its text: long texts cos
 Candidates are texts that share a band of registers. Equal texts count once. First each bucket is compared with its
 best-connected member only, which settles groups of copies in linear work. Then every bucket that still holds several classes
 has all members of different classes compared, in blocks; pairs whose sizes or sketches (one byte a register) rule out the
-threshold go before verification. Every candidate is verified on the exact multisets.
+threshold go before verification. Every candidate is verified on the exact multisets. Texts of no candidate are kept out of that by a
+bitmap of fixed size; what it lets through by chance goes in the join.
+
+Seven registers a band make texts that only share a passage (similarity 0.2 to 0.4) rare candidates: a passage in n texts
+would else make up to n * n of them.
 """
 
 from __future__ import annotations
@@ -21,7 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from affinis.llm import words as W
@@ -29,7 +33,9 @@ from affinis.llm.common import components, fingerprint, text_of, unused
 from affinis.operators.staging import materialize, self_pairs
 
 THRESHOLD = 0.8
-BANDS, ROWS = 24, 4
+BANDS, ROWS = 56, 7
+SKETCH = 96
+FILTER_BITS = 25
 _U = np.uint64
 ELEMENT_BITS = 52
 
@@ -101,32 +107,53 @@ def _sketcher(bands: int, rows: int):
                 for row in range(rows):
                     band = W.mix(band + signature[:, row::rows])
                 band = W.mix(band + np.arange(bands, dtype=_U))
-                low = pa.FixedSizeBinaryArray.from_buffers(pa.binary(bands * rows), len(part), [
-                    None, pa.py_buffer(np.ascontiguousarray(signature.astype(np.uint8)).tobytes())])
+                low = pa.FixedSizeBinaryArray.from_buffers(pa.binary(min(SKETCH, bands * rows)), len(part), [
+                    None, pa.py_buffer(np.ascontiguousarray(signature[:, :SKETCH].astype(np.uint8)).tobytes())])
                 yield pa.RecordBatch.from_arrays([
-                    batch.column("fp").slice(i, j - i), pa.array(weight), pc_binary(low),
+                    batch.column("fp").slice(i, j - i), pa.array(weight), low.cast(pa.binary()),
                     pa.ListArray.from_arrays(pa.array(np.arange(len(part) + 1) * bands, pa.int32()), _signed(band)),
                 ], names=["fp", "weight", "sketch", "bands"])
     return sketch
 
 
-def pc_binary(column: pa.Array) -> pa.Array:
-    return column.cast(pa.binary())
+def _element_maker(wanted: np.ndarray):
+    """Elements of every text whose bit is set; the k-th occurrence of a shingle is an element of its own, so sets show multiset overlap."""
+    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        done: set[bytes] = set()
+        for batch in batches:
+            bit = np.asarray(batch.column("bit"))
+            hit = np.flatnonzero((wanted[bit >> 6] >> (bit & 63).astype(_U)) & _U(1))
+            fps = batch.column("fp").take(pa.array(hit)).to_pylist()
+            fresh = [k for k, fp in zip(hit.tolist(), fps, strict=True) if not (fp in done or done.add(fp))]
+            texts = W.plain(batch.column("text").take(pa.array(fresh, pa.int64())))
+            own = batch.column("fp").take(pa.array(fresh, pa.int64()))
+            if len(done) > 1 << 17:  # a repeat after this is dropped later
+                done.clear()
+            for i, j in W.chunks(texts):
+                text, shingle, count, n = bags(texts.slice(i, j - i))
+                owner = np.repeat(np.arange(len(text)), count)
+                k = np.arange(len(owner)) - np.repeat(np.cumsum(count) - count, count)
+                element = np.where(k > 0, W.mix(shingle[owner] + W.mix(k.astype(_U))), shingle[owner])
+                ends = np.searchsorted(text[owner], np.arange(n + 1))
+                yield pa.RecordBatch.from_arrays([
+                    own.slice(i, j - i), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), _signed(element))],
+                    names=["fp", "elements"])
+    return make
+
+
+def _bit() -> Column:
+    return F.xxhash64("fp").bitwiseAND(F.lit((1 << FILTER_BITS) - 1))
 
 
-def _element_maker(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sorted elements of every text: the k-th occurrence of a shingle is an element of its own, so sets show multiset overlap."""
-    for batch in batches:
-        texts = W.plain(batch.column("text"))
-        for i, j in W.chunks(texts):
-            text, shingle, count, n = bags(texts.slice(i, j - i))
-            owner = np.repeat(np.arange(len(text)), count)
-            k = np.arange(len(owner)) - np.repeat(np.cumsum(count) - count, count)
-            element = np.where(k > 0, W.mix(shingle[owner] + W.mix(k.astype(_U))), shingle[owner])
-            ends = np.searchsorted(text[owner], np.arange(n + 1))
-            yield pa.RecordBatch.from_arrays([
-                batch.column("id").slice(i, j - i),
-                pa.ListArray.from_arrays(pa.array(ends, pa.int32()), _signed(element))], names=["id", "elements"])
+def _bitmap(wanted: DataFrame) -> np.ndarray:
+    """Bits of the wanted fingerprints: 2**FILTER_BITS bits, however many there are."""
+    bits = wanted.select(_bit().alias("bit"))
+    word = F.shiftright("bit", 6)
+    set_ = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("bit").bitwiseAND(F.lit(63)).cast("int"))
+    rows = bits.groupBy(word.alias("word")).agg(F.bit_or(set_).alias("bits")).toPandas()
+    bitmap = np.zeros(1 << (FILTER_BITS - 6), np.int64)
+    bitmap[rows["word"].to_numpy(np.int64)] = rows["bits"].to_numpy(np.int64)
+    return bitmap.view(_U)
 
 
 def _alike(registers: int, least: int):
@@ -148,7 +175,7 @@ def near_duplicate_classes(docs: DataFrame, text: str = "text", threshold: float
     without a word, are linked with nothing but equal texts. Links between classes of the first, linear pass and those of the
     second are given, not all pairs inside a class.
 
-    A pair at similarity s is missed with probability (1 - s**rows)**bands, 3e-6 at 0.8 with the defaults.
+    A pair at similarity s is missed with probability (1 - s**rows)**bands, 2e-6 at 0.8 with the defaults.
     """
     registers = bands * rows
     texts = docs.select(fingerprint(text).alias("fp"), text_of(text).alias("text"))
@@ -178,9 +205,10 @@ def near_duplicate_classes(docs: DataFrame, text: str = "text", threshold: float
     near = (F.col("label_a") != F.col("label_b")) & (
         F.least("weight_a", "weight_b") >= F.lit(threshold - 1e-6) * F.greatest("weight_a", "weight_b"))
     pairs = self_pairs(rest, ["band"], "id", ("label", "weight", "sketch"), near, block=2000)
-    # six standard deviations below the threshold: what is under it is further away than banding would find
-    least = int(registers * (threshold - 6 * (threshold * (1 - threshold) / registers) ** 0.5))
-    alike = pairs.select("id_a", "id_b", "sketch_a", "sketch_b").mapInArrow(_alike(registers, least), "a long, b long")
+    # six standard deviations below the threshold: less likely to lose a pair than banding is
+    shown = min(registers, SKETCH)
+    least = int(shown * (threshold - 6 * (threshold * (1 - threshold) / shown) ** 0.5))
+    alike = pairs.select("id_a", "id_b", "sketch_a", "sketch_b").mapInArrow(_alike(shown, least), "a long, b long")
     second = _verified(alike.distinct().join(first, ["a", "b"], "left_anti"), sigs, texts, threshold)
     links = materialize(first.unionByName(second), "links")
     labels = components(links.select("a", "b"))
@@ -198,8 +226,10 @@ def _verified(pairs: DataFrame, sigs: DataFrame, texts: DataFrame, threshold: fl
     pairs = materialize(pairs.where(near).select("a", "b", "weight_a", "weight_b"), "candidates")
     wanted = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
     wanted = materialize(light.join(wanted, "id").select("id", "fp"), "wanted")
-    whole = texts.join(wanted, "fp").dropDuplicates(["id"]).select("id", "text")
-    elements = materialize(whole.mapInArrow(_element_maker, "id long, elements array<long>"), "elements")
+    likely = texts.select("fp", _bit().alias("bit"), "text").mapInArrow(
+        _element_maker(_bitmap(wanted)), "fp binary, elements array<long>")
+    elements = likely.join(wanted, "fp").groupBy("id").agg(F.first("elements").alias("elements"))
+    elements = materialize(elements, "elements")
     for side in "ab":
         pairs = pairs.join(elements.select(F.col("id").alias(side), F.col("elements").alias(f"elements_{side}")), side)
     common = F.size(F.array_intersect("elements_a", "elements_b")).cast("long")

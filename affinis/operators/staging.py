@@ -10,6 +10,8 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,10 +36,27 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as a parquet table in the staging folder and return a scan of it."""
     spark = df.sparkSession
     path = f"{staging_root(spark)}/affinis/{name}-{uuid.uuid4().hex}"
+    if _SCOPES:
+        _SCOPES[-1].append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+_SCOPES: list[list[str]] = []
+
+
+@contextmanager
+def stored_tables(spark: SparkSession) -> Iterator[None]:
+    """Removes, on leaving, the tables that were stored inside; results must be written or collected before."""
+    _SCOPES.append([])
+    try:
+        yield
+    finally:
+        for path in _SCOPES.pop():
+            place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def wide_scan(table: DataFrame, key: str) -> DataFrame:
     """Spread a stored table over all cores where its files give fewer splits than that.
 
@@ -55,10 +74,9 @@ def hot_keys(rows: DataFrame, on: list[str], block: int, out: str, sizes: DataFr
     """
     if sizes is None:
         sizes = rows.groupBy(*on).agg(F.count(F.lit(1)).alias("_rows"))
-    sizes = sizes.where(F.col("_rows") > block)
-    if sizes.isEmpty():
-        return None
-    return materialize(sizes.select(*on, F.ceil(F.col("_rows") / F.lit(block)).cast("int").alias(out)), "hot")
+    hot = sizes.where(F.col("_rows") > block).select(*on, F.ceil(F.col("_rows") / F.lit(block)).cast("int").alias(out))
+    hot = materialize(hot, "hot")
+    return None if hot.isEmpty() else hot
 
 
 def spread_join(left: DataFrame, right: DataFrame, on: list[str], condition: Column | None = None,

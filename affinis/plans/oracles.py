@@ -43,9 +43,11 @@ CTES = {
         min(stars) AS user_min, count(*) AS rating_rows, var_samp(stars) AS sample
         FROM train JOIN users USING (user_id) WHERE item_id IN (SELECT item_id FROM items) GROUP BY 1""",
     # baskets of documents
-    "words": "SELECT doc_id, string_split_regex(lower(text), '[^a-z0-9]+') AS t FROM documents",
+    "words": r"""SELECT doc_id, list_filter(string_split_regex(lower(text), '[^\p{L}\p{N}]+'), lambda w: w <> '') AS t
+        FROM documents""",
     "shingles": """SELECT DISTINCT doc_id AS item,
-        unnest([array_to_string(t[k:k+2], ' ') FOR k IN range(1, greatest(len(t) - 1, 1))]) AS member FROM words""",
+        unnest([array_to_string(t[k:k+2], ' ') FOR k IN range(1, greatest(len(t) - 1, 2))]) AS member FROM words
+        WHERE len(t) > 0""",
     "codes": "SELECT member, row_number() OVER (ORDER BY member) - 1 AS code FROM (SELECT DISTINCT member FROM shingles)",
     "signature": """SELECT item, h, min((h * code + 1) % (SELECT count(*) FROM codes)) AS m
         FROM shingles JOIN codes USING (member), range(90) AS r(h) GROUP BY 1, 2""",
@@ -59,6 +61,9 @@ CTES = {
     "exact": """SELECT a, b, common / (p.n + q.n - common) AS similarity FROM shared
         JOIN sizes p ON p.item = a JOIN sizes q ON q.item = b WHERE 2 * common >= p.n + q.n - common""",
     "lsh": "SELECT exact.* FROM exact JOIN candidates USING (a, b)",
+    # equal sets under their least item
+    "families": """SELECT min(item) OVER (PARTITION BY held) AS rep, item
+        FROM (SELECT item, string_agg(member, '|' ORDER BY member) AS held FROM shingles GROUP BY 1)""",
     # item-based prediction
     "rated": """SELECT user_id AS u, item_id AS i, arg_max(stars, (ok, ln, sk, stars)) AS r, sum(stars) AS s,
         count(*) AS n FROM train GROUP BY 1, 2""",
@@ -156,6 +161,9 @@ WEIGHT = """SELECT user_id, item_id, coalesce(profile, 0) AS neighbours,
 LABELS = """SELECT concat('u', user_id) AS ul, concat('i', item_id) AS il, stars, 'train' AS part FROM train UNION ALL
     SELECT concat('u', user_id), concat('i', item_id), stars, 'test' FROM test"""
 
+_OF_SETS = """SELECT a, b, round(similarity, 6) AS similarity FROM {} WHERE a IN (SELECT rep FROM families)
+    AND b IN (SELECT rep FROM families)"""
+
 ORACLES = {
     "ratings_latest": _sql("""SELECT user_id, item_id, arg_max(stars, (ok, ln, sk, stars)) AS stars FROM ratings
         GROUP BY 1, 2""", "ratings"),
@@ -175,7 +183,11 @@ ORACLES = {
         FROM (SELECT DISTINCT user_id FROM train)""", *RATINGS, "train"),
     "minhash_signatures": _sql("SELECT item, h, m FROM signature", *SIGNED),
     "lsh_bands": _sql("SELECT item, band, k0, k1 FROM bands", *SIGNED, "bands"),
-    "lsh_candidates": _sql("SELECT a, b FROM candidates", *SIGNED, "bands", "candidates"),
+    "lsh_candidates": _sql("""SELECT a, b FROM candidates WHERE a IN (SELECT rep FROM families)
+        AND b IN (SELECT rep FROM families)""", *SIGNED, "bands", "candidates", "families"),
+    "similar_sets_exact": _sql(_OF_SETS.format("exact"), *EXACT, "families"),
+    "similar_sets_lsh": _sql(_OF_SETS.format("lsh"), *LSH, "families"),
+    "set_families": _sql("SELECT rep, item FROM families", *BASKETS, "families"),
     "similar_items_lsh": _sql("SELECT a, b, round(similarity, 6) AS similarity FROM lsh", *LSH),
     "similar_items_exact": _sql("SELECT a, b, round(similarity, 6) AS similarity FROM exact", *EXACT),
     "similar_items_by_raters": _sql("""SELECT a, b, round(common / (p.n + q.n - common), 6) AS similarity

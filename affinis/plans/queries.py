@@ -73,6 +73,22 @@ def similar_items_exact(spark, folder):
     return rounded(af.similar_items_exact(t.shingles(spark, folder), "item", "member"), "similarity")
 
 
+def _set_pairs(pairs, baskets):
+    return rounded(pairs, "similarity").withColumnsRenamed({"item_a": "a", "item_b": "b"})
+
+
+def similar_sets_lsh(spark, folder):
+    return _set_pairs(*af.similar_sets_lsh(t.shingles(spark, folder), "item", "member"))
+
+
+def similar_sets_exact(spark, folder):
+    return _set_pairs(*af.similar_sets_exact(t.shingles(spark, folder), "item", "member"))
+
+
+def set_families(spark, folder):
+    return af.set_families(t.shingles(spark, folder), "item", "member")
+
+
 def similar_items_by_raters(spark, folder):
     pairs = af.similar_items_exact(t.train(spark, folder), "item_id", "user_id", threshold=0.08)
     return rounded(pairs, "similarity")
@@ -206,6 +222,9 @@ QUERIES: dict[str, Query] = {
     "lsh_candidates": lsh_candidates,
     "similar_items_lsh": similar_items_lsh,
     "similar_items_exact": similar_items_exact,
+    "similar_sets_lsh": similar_sets_lsh,
+    "similar_sets_exact": similar_sets_exact,
+    "set_families": set_families,
     "similar_items_by_raters": similar_items_by_raters,
     "lsh_precision_recall": lsh_precision_recall,
     "item_pair_similarity": item_pair_similarity,

@@ -87,20 +87,16 @@ def items(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def shingles(spark: SparkSession, folder: str, width: int = 3) -> DataFrame:
-    """Baskets of documents: every run of three words of the whole text, once per document."""
-    words = F.split(F.lower("text"), "[^a-z0-9]+")
+    """Baskets of documents: every run of three words of the whole text, once per document.
+
+    Words are runs of letters and digits of any script. A text of fewer words has one run of all of them.
+    """
+    words = F.filter(F.split(F.lower("text"), r"[^\p{L}\p{N}]+"), lambda w: w != "")
     docs = wide_scan(table(spark, folder, "documents").select("doc_id", "text"), "doc_id")
     docs = docs.select(F.col("doc_id").alias("item"), words.alias("t"))
-    starts = F.sequence(F.lit(1), F.size("t") - (width - 1))
+    starts = F.sequence(F.lit(1), F.greatest(F.size("t") - (width - 1), F.lit(1)))
     runs = F.transform(starts, lambda i: F.array_join(F.slice("t", i, width), " "))
-    return docs.where(F.size("t") >= width).select("item", F.explode(F.array_distinct(runs)).alias("member"))
-
-
-def nations(spark: SparkSession, folder: str) -> DataFrame:
-    """Dense baskets: a part's members are the nations of its buyers."""
-    where = table(spark, folder, "customer").select(F.col("c_custkey").alias("user_id"),
-                                                    F.col("c_nationkey").cast("bigint").alias("member"))
-    return ratings(spark, folder).join(where, "user_id").select(F.col("item_id").alias("item"), "member")
+    return docs.where(F.size("t") > 0).select("item", F.explode(F.array_distinct(runs)).alias("member"))
 
 
 def needed_pairs(spark: SparkSession, folder: str) -> DataFrame:
