@@ -12,7 +12,7 @@ from affinis.operators.staging import stored_tables
 from affinis.operators.stats import RatingColumns, item_stats, latest_ratings, user_rating_stats, user_stats
 from affinis.sources.ratings import (prepare_ratings, read_item_profiles, read_predictions, read_ratings,
                                      read_similar_pairs, read_user_profiles, split_ratings, write_pairs,
-                                     write_predictions)
+                                     write_predictions, write_ratings)
 
 __all__ = [
     "HYBRID_FEATURES", "MODEL_FEATURES", "RatingColumns", "build_features", "cold_start_cells", "dense_codes",
@@ -21,5 +21,5 @@ __all__ = [
     "pair_precision_recall", "predict_hybrid", "predict_item_cf", "predict_model", "prediction_range",
     "prepare_ratings", "read_item_profiles", "read_predictions", "read_ratings", "read_similar_pairs",
     "read_user_profiles", "rescale_predictions", "rmse", "set_families", "similar_items_exact", "similar_items_lsh",
-    "similar_sets_exact", "similar_sets_lsh", "split_ratings", "stored_tables", "user_rating_stats", "user_stats", "write_pairs", "write_predictions",
+    "similar_sets_exact", "similar_sets_lsh", "split_ratings", "stored_tables", "user_rating_stats", "user_stats", "write_pairs", "write_predictions", "write_ratings",
 ]

@@ -31,14 +31,26 @@ def blend(alpha: Column, first: Column, second: Column) -> Column:
     return alpha * first + (F.lit(1.0) - alpha) * second
 
 
-def exact_type(mode: str, largest_count: int, largest_rating: int) -> str:
-    """The cheapest exact type for the Pearson terms, given bounds on rating rows per item and on the rating.
+def term_bound(mode: str, largest_rating: int) -> str:
+    """SQL of an upper bound, as a double, on every Pearson term of a row.
 
     With n ratings of at most m, every term is below 4 m^2 n^3, or 12 m^2 n^5 with default voting.
     """
-    bound = {"common": 4 * largest_rating**2 * largest_count**3,
-             "default_voting": 12 * largest_rating**2 * largest_count**5}[mode]
-    return "bigint" if bound < 2**63 else EXACT
+    n, m = "CAST(greatest(rows_a, rows_b) AS double)", float(max(largest_rating, 1))
+    return {"common": f"{4 * m * m}D * pow({n}, 3)", "default_voting": f"{12 * m * m}D * pow({n}, 5)"}[mode]
+
+
+def exact_terms(mode: str, largest_rating: int) -> dict[str, str]:
+    """SQL of the three Pearson terms of a row, each in the cheapest type that holds them.
+
+    bigint, then 38-digit decimals; beyond these, for items of hundreds of millions of ratings with default voting,
+    the factors are still exact and only their products are doubles.
+    """
+    small, middle = (TERMS[mode](kind) for kind in ("bigint", EXACT))
+    bound = term_bound(mode, largest_rating)
+    large = default_voting_terms(EXACT, "double") if mode == "default_voting" else middle
+    return {x: f"CASE WHEN {bound} < 9e18D THEN {small[x]} WHEN {bound} < 9e37D THEN {middle[x]} ELSE {large[x]} END"
+            for x in small}
 
 
 def pearson_terms(kind: str = EXACT) -> dict[str, str]:
@@ -51,35 +63,39 @@ def pearson_terms(kind: str = EXACT) -> dict[str, str]:
             "norm_b": _as_double(_common_norm("b", kind))}
 
 
-def default_voting_terms(kind: str = EXACT) -> dict[str, str]:
+def default_voting_terms(kind: str = EXACT, product: str | None = None) -> dict[str, str]:
     """The same three terms over the union of the users.
 
     A user who rated one item only gets, for the other, that item's average over the common users. That vote is
     a constant per pair, so totals over all users of each item suffice and the union is never formed: ``all_sum_x``,
     ``all_squares_x`` and ``raters_x`` over all distinct users of x. The numerator is scaled by rows_a * rows_b * n
-    and the norms by rows^2 * n^2; the quotient needs one factor n.
+    and the norms by rows^2 * n^2; the quotient needs one factor n. ``product`` is the type in which exact factors are
+    multiplied, if another one.
     """
     n = _exact("n_common", kind)
 
+    def factor(sql: str) -> str:
+        return f"CAST({sql} AS {product})" if product else sql
+
     def parts(x: str) -> dict[str, str]:
         return {c: _exact(f"{c}_{x}", kind) for c in (
             "total", "rows", "sum", "all_sum", "all_squares", "raters")}
 
     def deviation(x: str) -> str:
         v = parts(x)
-        return f"({v['rows']} * {v['sum']} - {n} * {v['total']})"
+        return factor(f"({v['rows']} * {v['sum']} - {n} * {v['total']})")
 
     def only(x: str) -> str:
         v = parts(x)
-        return f"({v['rows']} * ({v['all_sum']} - {v['sum']}) - ({v['raters']} - {n}) * {v['total']})"
+        return factor(f"({v['rows']} * ({v['all_sum']} - {v['sum']}) - ({v['raters']} - {n}) * {v['total']})")
 
     def norm(x: str, other: str) -> str:
         v, others = parts(x), _exact(f"raters_{other}", kind)
-        own = (f"({v['rows']} * {v['rows']} * {v['all_squares']} - {_exact('2', kind)} * {v['rows']} * {v['total']} "
+        own = factor(f"({v['rows']} * {v['rows']} * {v['all_squares']} - {_exact('2', kind)} * {v['rows']} * {v['total']} "
                f"* {v['all_sum']} + {v['raters']} * {v['total']} * {v['total']})")
-        return f"{n} * {n} * {own} + ({others} - {n}) * {deviation(x)} * {deviation(x)}"
+        return f"{factor(n)} * {factor(n)} * {own} + {factor(f'({others} - {n})')} * {deviation(x)} * {deviation(x)}"
 
-    top = (f"{n} * ({n} * ({_common_product(kind)}) + {only('a')} * {deviation('b')}"
+    top = (f"{factor(n)} * ({factor(n)} * {factor(f'({_common_product(kind)})')} + {only('a')} * {deviation('b')}"
            f" + {only('b')} * {deviation('a')})")
     return {"top": _as_double(top), "norm_a": _as_double(norm("a", "b")), "norm_b": _as_double(norm("b", "a"))}
 
@@ -108,3 +124,6 @@ def _common_norm(x: str, kind: str) -> str:
 def pearson_quotient(top: Column, norm_a: Column, norm_b: Column) -> Column:
     """Zero numerator gives similarity 0, which also covers zero norms."""
     return F.when(top == 0, F.lit(0.0)).otherwise(top / (F.sqrt(norm_a) * F.sqrt(norm_b)))
+
+
+TERMS = {"common": pearson_terms, "default_voting": default_voting_terms}

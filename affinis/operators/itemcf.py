@@ -2,13 +2,10 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from affinis.functions.similarity import (amplify, default_voting_terms, exact_type, pearson_quotient, pearson_terms,
-                                          ratio_of_averages)
+from affinis.functions.similarity import TERMS, amplify, exact_terms, pearson_quotient, ratio_of_averages
 from affinis.operators.staging import BLOCK, hot_keys, materialize, self_pairs, spread_join
 from affinis.operators.stats import RatingColumns, item_totals, pair_ratings, user_totals
 
@@ -38,10 +35,7 @@ def item_similarity(ratings: DataFrame, pairs: DataFrame | None = None, c: Ratin
         asked = asked.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
         asked = materialize(asked, "asked")
         wanted = asked.join(co_rating_sums(rated, asked, heavy_profile, block), ["a", "b"], "left")
-    for side in ("a", "b"):
-        totals = items.select(F.col("item").alias(side), *[F.col(x).alias(f"{x}_{side}") for x in ITEM_COLUMNS])
-        wanted = wanted.join(totals, side)
-    wanted = _with_similarity(wanted, item_extent(rated), mode, min_common)
+    wanted = _with_similarity(wanted, items, largest_rating(rated), mode, min_common)
     return wanted.select("a", "b", "similarity", F.coalesce("n_common", F.lit(0)).alias("n_common"))
 
 
@@ -131,29 +125,50 @@ def co_rating_sums(rated: DataFrame, wanted: DataFrame | None, heavy_profile: in
                    block: int = BLOCK, focus: DataFrame | None = None) -> DataFrame:
     """``(a, b, n_common, sum_a, sum_b, squares_a, squares_b, products)`` over common users, ``a < b``.
 
-    A profile of p items contributes p * (p - 1) / 2 pairs. Up to ``heavy_profile`` that is done by a self-join on
-    the user. For larger profiles the work starts from the ``wanted`` pairs (a, b) instead, which costs one row per
-    wanted pair and heavy user. Without ``wanted``, every pair is part of the result and the join is cut into blocks.
-    ``focus`` (item) leaves out pairs of which neither item is listed.
+    Only the co-rated rows of ``wanted`` pairs (a, b), a stored table, enter the sums; without it, all do. A profile of p
+    items makes p * (p - 1) / 2 rows. Up to ``heavy_profile`` that is done by a self-join on the user. For larger
+    profiles it is done too, cut into blocks, unless looking up the wanted pairs at the heavy raters of their first item
+    makes fewer rows; both numbers are measured. ``focus`` (item) leaves out pairs of which neither item is listed.
     """
+    return _sum_pairs(co_rated_rows(rated, wanted, heavy_profile, block, focus))
+
+
+def co_rated_rows(rated: DataFrame, wanted: DataFrame | None, heavy_profile: int = HEAVY_PROFILE,
+                  block: int = BLOCK, focus: DataFrame | None = None) -> DataFrame:
+    """The rows ``(a, b, rating_a, rating_b)`` that ``co_rating_sums`` adds up."""
     light = rated.select("user", "item", "rating")
     heavy = hot_keys(rated, ["user"], heavy_profile, "_blocks")
     if heavy is None:
-        return _sum_pairs(_profile_pairs(light, focus))
+        return _of_wanted(_profile_pairs(light, focus), wanted)
     busy = materialize(light.join(heavy.select("user"), "user", "left_semi"), "heavy-profiles")
     few = light.join(heavy, "user", "left_anti")
-    if wanted is None:
+    asked = None if wanted is None else _looked_up(busy, wanted)
+    if asked is None:
         co_rated = self_pairs(busy, ["user"], "item", ("rating",), block=block)
         co_rated = co_rated.select(F.col("item_a").alias("a"), F.col("item_b").alias("b"), "rating_a", "rating_b")
-    else:
-        reached = busy.select("item").distinct()
-        asked = wanted.join(reached.withColumnRenamed("item", "a"), "a", "left_semi")
-        asked = asked.join(reached.withColumnRenamed("item", "b"), "b", "left_semi").select("a", "b")
-        first = busy.select(F.col("item").alias("a"), "user", F.col("rating").alias("rating_a"))
-        second = busy.select(F.col("item").alias("b"), "user", F.col("rating").alias("rating_b"))
-        co_rated = spread_join(materialize(asked, "asked-heavy"), first, ["a"], block=block)
-        co_rated = co_rated.join(second, ["b", "user"]).select("a", "b", "rating_a", "rating_b")
-    return _sum_pairs(_profile_pairs(few, focus).unionByName(co_rated))
+        return _of_wanted(_profile_pairs(few, focus).unionByName(co_rated), wanted)
+    first = busy.select(F.col("item").alias("a"), "user", F.col("rating").alias("rating_a"))
+    second = busy.select(F.col("item").alias("b"), "user", F.col("rating").alias("rating_b"))
+    co_rated = spread_join(asked, first, ["a"], block=block)
+    co_rated = co_rated.join(second, ["b", "user"]).select("a", "b", "rating_a", "rating_b")
+    return _of_wanted(_profile_pairs(few, focus), wanted).unionByName(co_rated)
+
+
+def _looked_up(busy: DataFrame, wanted: DataFrame) -> DataFrame | None:
+    """The wanted pairs with both items in heavy profiles, stored; None if pairing the profiles makes fewer rows."""
+    raters = busy.groupBy("item").agg(F.count(F.lit(1)).alias("raters"))
+    asked = wanted.join(raters.withColumnRenamed("item", "a"), "a").join(
+        raters.select(F.col("item").alias("b")), "b", "left_semi").select("a", "b", "raters")
+    asked = materialize(asked, "asked-heavy")
+    lookups = asked.agg(F.sum("raters")).first()[0] or 0
+    sizes = busy.groupBy("user").agg(F.count(F.lit(1)).cast("double").alias("p"))
+    paired = sizes.agg(F.sum(F.col("p") * (F.col("p") - 1) / 2)).first()[0] or 0
+    return asked.select("a", "b") if lookups < paired else None
+
+
+def _of_wanted(co_rated: DataFrame, wanted: DataFrame | None) -> DataFrame:
+    """The co-rated rows of the wanted pairs, so the others never reach the sums."""
+    return co_rated if wanted is None else co_rated.join(wanted.select("a", "b"), ["a", "b"], "left_semi")
 
 
 def _profile_pairs(light: DataFrame, focus: DataFrame | None) -> DataFrame:
@@ -179,39 +194,27 @@ def _sum_pairs(co_rated: DataFrame) -> DataFrame:
         F.sum(ra * ra).alias("squares_a"), F.sum(rb * rb).alias("squares_b"), F.sum(ra * rb).alias("products"))
 
 
-TERMS = {"common": pearson_terms, "default_voting": default_voting_terms}
-
-
-@dataclass(frozen=True)
-class ItemExtent:
-    """Number of items, most rating rows of one item, and largest rating: what the plan is chosen by."""
-
-    items: int
-    largest_count: int
-    largest_rating: int
+def largest_rating(rated: DataFrame) -> int:
+    return rated.agg(F.max(F.abs("rating"))).first()[0] or 0
 
 
-def item_extent(rated: DataFrame) -> ItemExtent:
-    sizes = rated.groupBy("item").agg(F.sum("rows").alias("n"), F.max(F.abs("rating")).alias("m"))
-    items, count, rating = sizes.agg(F.count(F.lit(1)), F.max("n"), F.max("m")).first()
-    return ItemExtent(items, count or 0, rating or 0)
+def _with_similarity(pairs: DataFrame, items: DataFrame, largest: int, mode: str, min_common: int | None) -> DataFrame:
+    """Add ``similarity`` to pairs (a, b) that hold their common sums, if any; ``items`` has the totals of each item.
 
-
-def _with_similarity(rows: DataFrame, extent: ItemExtent, mode: str, min_common: int | None) -> DataFrame:
-    """Add ``similarity`` to rows that hold the totals of both items and, if any, their common sums.
-
-    The exact terms are bigint where the largest item allows it and decimals otherwise. They are columns of their
-    own, so that each is computed once and the generated code stays small enough to be compiled.
+    The exact terms are columns of their own, so that each is computed once and the generated code stays small enough
+    to be compiled.
     """
     if mode not in TERMS:
         raise ValueError(f"unknown similarity mode: {mode}")
-    kind = exact_type(mode, extent.largest_count, extent.largest_rating)
-    rows = rows.withColumns({f"_{name}": F.expr(sql) for name, sql in TERMS[mode](kind).items()})
+    for side in ("a", "b"):
+        totals = items.select(F.col("item").alias(side), *[F.col(x).alias(f"{x}_{side}") for x in ITEM_COLUMNS])
+        pairs = pairs.join(totals, side)
+    pairs = pairs.withColumns({f"_{name}": F.expr(sql) for name, sql in exact_terms(mode, largest).items()})
     pearson = pearson_quotient(F.col("_top"), F.col("_norm_a"), F.col("_norm_b"))
     if min_common is not None:
         pearson = pearson * F.when(F.col("n_common") < min_common, F.lit(0.5)).otherwise(F.lit(1.0))
     averages = ratio_of_averages(F.col("total_a") / F.col("rows_a"), F.col("total_b") / F.col("rows_b"))
-    return rows.withColumn("similarity", F.when(F.col("n_common").isNull(), averages).otherwise(pearson))
+    return pairs.withColumn("similarity", F.when(F.col("n_common").isNull(), averages).otherwise(pearson))
 
 
 def _targets(rated: DataFrame, pairs: DataFrame, c: RatingColumns) -> DataFrame:
@@ -232,24 +235,21 @@ def _targets(rated: DataFrame, pairs: DataFrame, c: RatingColumns) -> DataFrame:
 def _neighbours(rated: DataFrame, targets: DataFrame, mode: str, min_common: int | None, heavy_profile: int,
                 block: int) -> DataFrame:
     """``(user, item, other, rating, similarity)``: each open pair against the user's whole profile."""
-    open_pairs = targets.where(F.col("cell") == "both_known").select("user", "item", *ITEM_COLUMNS)
-    totals = item_totals(rated).select("item", *[F.col(x).alias(f"other_{x}") for x in ITEM_COLUMNS])
-    profile = rated.select("user", "item", "rating").join(totals, "item").withColumnRenamed("item", "other")
+    open_pairs = targets.where(F.col("cell") == "both_known").select("user", "item")
+    profile = rated.select("user", F.col("item").alias("other"), "rating")
     sizes = rated.groupBy("user").agg(F.count(F.lit(1)).alias("_rows"))
     # Rows multiply here: a shuffle by user keeps all tasks busy where a small broadcast side would not.
     rows = spread_join(open_pairs.hint("merge"), profile, ["user"], block=block, right_sizes=sizes)
-    first = F.col("item") < F.col("other")
-    sides = []
-    for x in ITEM_COLUMNS:
-        sides.append(F.when(first, F.col(x)).otherwise(F.col(f"other_{x}")).alias(f"{x}_a"))
-        sides.append(F.when(first, F.col(f"other_{x}")).otherwise(F.col(x)).alias(f"{x}_b"))
     rows = rows.select("user", "item", "other", "rating", F.least("item", "other").alias("a"),
-                       F.greatest("item", "other").alias("b"), *sides)
-    wanted = rows.select("a", "b").distinct()
-    extent = item_extent(rated)
+                       F.greatest("item", "other").alias("b"))
+    rows = materialize(rows, "neighbours")
+    wanted = materialize(rows.select("a", "b").distinct(), "wanted")
     focus = targets.where(F.col("cell") == "both_known").select("item").distinct()
     # where most items are asked for, marking them would cost more than it saves
-    focus = materialize(focus, "focus") if 2 * focus.count() < extent.items else None
+    focus = materialize(focus, "focus")
+    focus = focus if 2 * focus.count() < rated.select("item").distinct().count() else None
     sums = co_rating_sums(rated, wanted, heavy_profile, block, focus)
-    rows = _with_similarity(rows.join(sums, ["a", "b"], "left"), extent, mode, min_common)
-    return rows.select("user", "item", "other", "rating", "similarity")
+    pairs = _with_similarity(wanted.join(sums, ["a", "b"], "left"), item_totals(rated), largest_rating(rated), mode,
+                             min_common)
+    return rows.join(pairs.select("a", "b", "similarity"), ["a", "b"]).select(
+        "user", "item", "other", "rating", "similarity")

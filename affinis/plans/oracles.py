@@ -2,7 +2,12 @@
 
 from __future__ import annotations
 
-from affinis.operators.features import COMPLIMENT_FEATURES, HYBRID_FEATURES, MODEL_FEATURES, MISSING
+import random
+
+from affinis.operators.features import (COMPLIMENT_FEATURES, HYBRID_FEATURES, ITEM_FEATURES, MISSING, MODEL_FEATURES,
+                                        USER_FEATURES)
+from affinis.operators.jaccard import MERSENNE_31
+from affinis.plans.queries import UNIVERSAL
 from affinis.plans.tables import COLD_ITEMS, COLD_USERS, TEST_ORDERS
 
 
@@ -39,6 +44,8 @@ CTES = {
     "items": """SELECT item_id,
         ((4 * sum(stars)::BIGINT + count(*)) // (2 * count(*))) / 2.0::DOUBLE AS business_avg_stars, count(*) AS business_rev_count FROM ratings
         WHERE item_id IN (SELECT p_partkey FROM part WHERE p_size > 1) GROUP BY 1""",
+    "tips": """SELECT user_id, item_id, count(*) AS tips, count(*) FILTER (WHERE stars >= 4) AS likes FROM ratings
+        WHERE ok % 3 = 0 GROUP BY 1, 2""",
     "stats": """SELECT user_id, avg(pow(stars - average_stars, 2)) AS user_variance, max(stars) AS user_max,
         min(stars) AS user_min, count(*) AS rating_rows, var_samp(stars) AS sample
         FROM train JOIN users USING (user_id) WHERE item_id IN (SELECT item_id FROM items) GROUP BY 1""",
@@ -91,20 +98,30 @@ PEARSON = {
         (p.n * q.n * sab - p.s * q.n * sb - q.s * p.n * sa + c * p.s * q.s)::DOUBLE AS num,
         (p.n * p.n * saa - 2 * p.n * p.s * sa + c * p.s * p.s)::DOUBLE AS da,
         (q.n * q.n * sbb - 2 * q.n * q.s * sb + c * q.s * q.s)::DOUBLE AS db""",
-    # summed over the union of the users: the missing rating is the item's average over the common users
+    # from the definition: over the union of the users, a missing rating being the item's average over the common users;
+    # the deviation of each user, times the item's rating count and the number of common users, is a whole number
     "default_voting": """SELECT needed.a, needed.b, coalesce(c, 0) AS n_common, p.s / p.n AS avg_a, q.s / q.n AS avg_b,
-        (c * (c * (p.n * q.n * sab - p.s * q.n * sb - q.s * p.n * sa + c * p.s * q.s)
-          + (p.n * (p.s1 - sa) - (p.raters - c) * p.s) * (q.n * sb - c * q.s)
-          + (q.n * (q.s1 - sb) - (q.raters - c) * q.s) * (p.n * sa - c * p.s)))::DOUBLE AS num,
-        (c * c * (p.n * p.n * p.s2 - 2 * p.n * p.s * p.s1 + p.raters * p.s * p.s)
-          + (q.raters - c) * (p.n * sa - c * p.s) * (p.n * sa - c * p.s))::DOUBLE AS da,
-        (c * c * (q.n * q.n * q.s2 - 2 * q.n * q.s * q.s1 + q.raters * q.s * q.s)
-          + (p.raters - c) * (q.n * sb - c * q.s) * (q.n * sb - c * q.s))::DOUBLE AS db""",
+        num::DOUBLE AS num, da::DOUBLE AS da, db::DOUBLE AS db""",
+}
+UNION = {
+    "common_voters": """SELECT s.a, s.b, c, sa, sb, x.r::HUGEINT AS ra, y.r::HUGEINT AS rb FROM needed JOIN sums s USING (a, b)
+        JOIN rated x ON x.i = s.a JOIN rated y ON y.i = s.b AND y.u = x.u""",
+    "single_voters": """SELECT s.a, s.b, c, sa, sb, x.r::HUGEINT AS ra, NULL::HUGEINT AS rb FROM needed JOIN sums s USING (a, b)
+        JOIN rated x ON x.i = s.a ANTI JOIN rated y ON y.i = s.b AND y.u = x.u
+        UNION ALL SELECT s.a, s.b, c, sa, sb, NULL, y.r FROM needed JOIN sums s USING (a, b)
+        JOIN rated y ON y.i = s.b ANTI JOIN rated x ON x.i = s.a AND x.u = y.u""",
+    "deviations": """SELECT a, b, p.n * coalesce(c * ra, sa) - c * p.s AS va, q.n * coalesce(c * rb, sb) - c * q.s AS vb
+        FROM (SELECT * FROM common_voters UNION ALL SELECT * FROM single_voters) JOIN it p ON p.i = a JOIN it q ON q.i = b""",
+    "voted": "SELECT a, b, sum(va * vb) AS num, sum(va * va) AS da, sum(vb * vb) AS db FROM deviations GROUP BY 1, 2",
 }
 
 
+# computed once, so that no slow plan is picked
+STORED = dict.fromkeys(("uc", "ic", "labels"), "MATERIALIZED ")
+
+
 def _with(ctes: dict[str, str], query: str) -> str:
-    return "WITH " + ",\n".join(f"{name} AS ({body})" for name, body in ctes.items()) + "\n" + query
+    return "WITH " + ",\n".join(f"{name} AS {STORED.get(name, '')}({body})" for name, body in ctes.items()) + "\n" + query
 
 
 def _sql(query: str, *names: str, extra: dict[str, str] | None = None) -> str:
@@ -112,6 +129,7 @@ def _sql(query: str, *names: str, extra: dict[str, str] | None = None) -> str:
 
 
 RATINGS = ("ratings", "marked")
+PLAIN_FEATURES = USER_FEATURES + ITEM_FEATURES
 BASKETS = ("words", "shingles")
 SIGNED = (*BASKETS, "codes", "signature")
 EXACT = (*BASKETS, "sizes", "shared", "exact")
@@ -123,9 +141,10 @@ CF = (*RATED, "targets", "neighbours", "needed", "sums")
 
 def _similarities(mode: str = "common", min_common: int | None = None) -> dict[str, str]:
     halve = f"CASE WHEN n_common < {min_common} THEN 0.5::DOUBLE ELSE 1 END" if min_common else "1"
-    return {
+    voted = mode == "default_voting"
+    return (UNION if voted else {}) | {
         "terms": f"""{PEARSON[mode]} FROM needed LEFT JOIN sums ON sums.a = needed.a AND sums.b = needed.b
-            JOIN it p ON p.i = needed.a JOIN it q ON q.i = needed.b""",
+            {"LEFT JOIN voted ON voted.a = needed.a AND voted.b = needed.b" if voted else ""} JOIN it p ON p.i = needed.a JOIN it q ON q.i = needed.b""",
         "pair_sims": f"""SELECT a, b, n_common, CASE
             WHEN n_common = 0 THEN least(avg_a, avg_b) / greatest(avg_a, avg_b)
             WHEN num = 0 THEN 0 ELSE num / (sqrt(da) * sqrt(db)) * {halve} END AS sim FROM terms"""}
@@ -161,6 +180,28 @@ WEIGHT = """SELECT user_id, item_id, coalesce(profile, 0) AS neighbours,
 LABELS = """SELECT concat('u', user_id) AS ul, concat('i', item_id) AS il, stars, 'train' AS part FROM train UNION ALL
     SELECT concat('u', user_id), concat('i', item_id), stars, 'test' FROM test"""
 
+def _stump(rows: str, test: str) -> dict[str, str]:
+    """The split ``x <= v`` of ``rows (x, y)`` with the least squared error, and the mean of the side of each test row."""
+    return {
+        "fitted": rows,
+        "splits": """SELECT v, sum(y) FILTER (WHERE x <= v) / count(*) FILTER (WHERE x <= v) AS low,
+            sum(y) FILTER (WHERE x > v) / count(*) FILTER (WHERE x > v) AS high,
+            pow(sum(y) FILTER (WHERE x <= v), 2) / count(*) FILTER (WHERE x <= v)
+            + pow(sum(y) FILTER (WHERE x > v), 2) / count(*) FILTER (WHERE x > v) AS gain
+            FROM (SELECT DISTINCT x AS v FROM fitted), fitted GROUP BY 1 HAVING count(*) FILTER (WHERE x > v) > 0""",
+        "stump": "SELECT * FROM splits ORDER BY gain DESC LIMIT 1",
+        "scored": f"SELECT user_id, item_id, CASE WHEN x <= v THEN low ELSE high END AS score FROM ({test}), stump"}
+
+
+def _universal() -> str:
+    """Signatures with the hash family that the seed draws."""
+    draw = random.Random(UNIVERSAL)
+    rows = ", ".join(f"({h}, {draw.randrange(1, MERSENNE_31)}, {draw.randrange(MERSENNE_31)})" for h in range(UNIVERSAL))
+    return f"""SELECT item, h::BIGINT AS h, min((x::BIGINT * (code % {MERSENNE_31}) + y::BIGINT) % {MERSENNE_31}) AS m
+        FROM shingles JOIN codes USING (member), (VALUES {rows}) AS f(h, x, y) GROUP BY 1, 2"""
+
+
+CF_TEXT = """SELECT user_id::VARCHAR AS user_id, item_id::VARCHAR AS business_id, round(prediction, 6) AS prediction FROM cf"""
 _OF_SETS = """SELECT a, b, round(similarity, 6) AS similarity FROM {} WHERE a IN (SELECT rep FROM families)
     AND b IN (SELECT rep FROM families)"""
 
@@ -182,6 +223,7 @@ ORACLES = {
     "user_codes": _sql("""SELECT user_id, row_number() OVER (ORDER BY user_id) - 1 AS code
         FROM (SELECT DISTINCT user_id FROM train)""", *RATINGS, "train"),
     "minhash_signatures": _sql("SELECT item, h, m FROM signature", *SIGNED),
+    "lsh_universal": _sql(_universal(), *BASKETS, "codes"),
     "lsh_bands": _sql("SELECT item, band, k0, k1 FROM bands", *SIGNED, "bands"),
     "lsh_candidates": _sql("""SELECT a, b FROM candidates WHERE a IN (SELECT rep FROM families)
         AND b IN (SELECT rep FROM families)""", *SIGNED, "bands", "candidates", "families"),
@@ -210,6 +252,12 @@ ORACLES = {
         / ((SELECT max(prediction) FROM cf) - (SELECT min(prediction) FROM cf)) * 4 + 1, 6)""", rho=2.5),
     "item_cf_whole_stars": _predictions("round(prediction, 0)", rho=2.5),
     "item_cf_cold_default": _predictions(rho=2.5, cold="default"),
+    "item_cf_half_stars": _predictions("round(prediction / 2, 6)", rho=2.5),
+    "item_cf_repeated_rows": _sql("""SELECT user_id, item_id, round(prediction, 6) AS prediction
+        FROM marked JOIN cf USING (user_id, item_id) WHERE held_out""", *CF, extra=_cf(rho=2.5)),
+    "co_rated_similarity": _sql("SELECT a, b, round(sim, 6) AS similarity, n_common::BIGINT AS n_common FROM pair_sims",
+                                *RATINGS, "train", "rated", "it", "sums",
+                                extra={"needed": "SELECT a, b FROM sums"} | _similarities()),
     "user_rating_stats": _sql("""SELECT user_id, round(user_variance, 6) AS user_variance, user_max, user_min,
         rating_rows FROM stats""", *PROFILES, "stats"),
     "user_sample_variance": _sql("""SELECT user_id, round(sample, 6) AS user_variance, user_max, user_min,
@@ -228,6 +276,37 @@ ORACLES = {
     "hybrid_features": _sql(f"""SELECT user_id, item_id, {_filled(HYBRID_FEATURES)} FROM test
         LEFT JOIN hybrid_users USING (user_id) LEFT JOIN items USING (item_id)""",
                             *RATINGS, "test", "hybrid_users", "items"),
+    "hybrid_train_features": _sql(f"""SELECT user_id, item_id, train.stars, {_filled(HYBRID_FEATURES)} FROM train
+        JOIN hybrid_users USING (user_id) JOIN items USING (item_id)""", *RATINGS, "train", "hybrid_users", "items"),
+    "feature_vectors": _sql(f"""SELECT user_id, item_id, unnest(range({len(MODEL_FEATURES)})) AS place,
+        unnest([{", ".join(MODEL_FEATURES)}]) AS value FROM (SELECT user_id, item_id, {_filled(MODEL_FEATURES)} FROM test
+        LEFT JOIN users USING (user_id) LEFT JOIN items USING (item_id) LEFT JOIN stats USING (user_id))""",
+                            *PROFILES, "stats"),
+    "features_with_extra": _sql(f"""SELECT user_id, item_id, {_filled(PLAIN_FEATURES + ("tips", "likes"))} FROM test
+        LEFT JOIN users USING (user_id) LEFT JOIN items USING (item_id) LEFT JOIN tips USING (user_id, item_id)""",
+                                *PROFILES, "tips"),
+    "features_numeric_text": _sql(f"""SELECT user_id, item_id, {_filled(PLAIN_FEATURES)},
+        CASE WHEN user_id % 7 = 0 OR review_count IS NULL THEN {MISSING} ELSE user_id END::DOUBLE AS postal_code FROM test
+        LEFT JOIN users USING (user_id) LEFT JOIN items USING (item_id)""", *PROFILES),
+    "model_stump": _sql("SELECT user_id, item_id, round(score, 6) AS prediction FROM scored", *PROFILES, "stats",
+                        extra=_stump("""SELECT user_min AS x, train.stars AS y FROM train JOIN users USING (user_id)
+                            JOIN items USING (item_id) JOIN stats USING (user_id)""",
+                                     f"""SELECT user_id, item_id, coalesce(user_min, {MISSING}) AS x FROM test
+                            LEFT JOIN stats USING (user_id)""")),
+    "hybrid_stump": _sql("""SELECT user_id, item_id, round(alpha * prediction + (1 - alpha) * score, 6) AS prediction
+        FROM cf JOIN weight USING (user_id, item_id) JOIN scored USING (user_id, item_id)""", *CF, "hybrid_users", "items",
+                         extra=_cf(rho=6.0) | {"weight": WEIGHT} | _stump(
+                             """SELECT business_avg_stars AS x, train.stars AS y FROM train JOIN hybrid_users USING (user_id)
+                                 JOIN items USING (item_id)""",
+                             f"""SELECT user_id, item_id, coalesce(business_avg_stars, {MISSING}) AS x FROM test
+                                 LEFT JOIN items USING (item_id)""")),
+    "ratings_csv": _sql("""SELECT user_id::VARCHAR AS user_id, item_id::VARCHAR AS business_id, stars::DOUBLE AS stars
+        FROM train""", *RATINGS, "train"),
+    "profiles_json": _sql("""SELECT user_id::VARCHAR AS user_id, average_stars, review_count, useful, fans, funny, cool
+        FROM hybrid_users""", "ratings", "hybrid_users"),
+    "pairs_sink": _sql("""SELECT a::VARCHAR AS business_id_1, b::VARCHAR AS business_id_2, similarity
+        FROM (""" + _OF_SETS.format("exact") + ")", *EXACT, "families"),
+    "predictions_sink": _sql(CF_TEXT, *CF, extra=_cf(rho=2.5)),
     "hybrid_weight": _sql("SELECT user_id, item_id, neighbours, round(alpha, 6) AS alpha FROM weight", *RATED,
                           extra={"weight": WEIGHT}),
     "hybrid_weight_lifted": _sql("""SELECT user_id, item_id, neighbours,

@@ -2,18 +2,24 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import affinis as af
-from affinis.operators.staging import materialize
+from affinis.operators.features import COMPLIMENT_FEATURES, USER_FEATURES
+from affinis.operators.staging import materialize, staging_root
 from affinis.plans import tables as t
 
 C = t.COLUMNS
 Query = Callable[[SparkSession, str], DataFrame]
 TREES = {"trees": 20, "depth": 3}
+#: one split of one feature, which SQL can find too
+STUMP = {"trees": 1, "depth": 1, "step": 1.0}
+UNIVERSAL = 12
 
 
 def rounded(df: DataFrame, *columns: str) -> DataFrame:
@@ -56,6 +62,11 @@ def minhash_signatures(spark, folder):
     return signatures.withColumn("h", F.col("h").cast("bigint"))
 
 
+def lsh_universal(spark, folder):
+    signatures = af.minhash_signatures(t.shingles(spark, folder), "item", "member", hashes=UNIVERSAL, hash="universal")
+    return signatures.withColumn("h", F.col("h").cast("bigint"))
+
+
 def lsh_bands(spark, folder):
     bands = af.lsh_bands(t.shingles(spark, folder), "item", "member")
     return bands.withColumn("band", F.col("band").cast("bigint"))
@@ -113,6 +124,21 @@ def item_cf(**options) -> Query:
     return run
 
 
+def co_rated_similarity(spark, folder):
+    return rounded(af.item_similarity(t.train(spark, folder), None, C), "similarity")
+
+
+def item_cf_half_stars(spark, folder):
+    halves = af.RatingColumns(C.user, C.item, C.stars, C.order, unit=0.5)
+    train = t.train(spark, folder).withColumn("stars", F.col("stars") / 2)
+    return rounded(af.predict_item_cf(train, t.test(spark, folder), halves, rho=2.5, default=1.25, cap=2.5), "prediction")
+
+
+def item_cf_repeated_rows(spark, folder):
+    train, test = t.train_and_test_rows(spark, folder)
+    return rounded(af.predict_item_cf(train, test, C, rho=2.5), "prediction")
+
+
 def user_rating_stats(spark, folder, **options):
     stats = af.user_rating_stats(t.train(spark, folder), t.users(spark, folder), t.items(spark, folder), C, **options)
     return rounded(stats, "user_variance")
@@ -165,6 +191,75 @@ def hybrid_features(spark, folder):
     return inputs.hybrid_features(inputs.test.select(*C.pair), "left")
 
 
+def hybrid_train_features(spark, folder):
+    inputs = _Inputs(spark, folder, t.hybrid_users)
+    return inputs.hybrid_features(inputs.train.select(*C.pair, "stars"), "inner")
+
+
+def feature_vectors(spark, folder):
+    vectors = af.feature_matrix(test_features(spark, folder), af.MODEL_FEATURES)
+    values = F.posexplode(vector_to_array("features")).alias("place", "value")
+    return vectors.select(*C.pair, values).withColumn("place", F.col("place").cast("bigint"))
+
+
+def features_with_extra(spark, folder):
+    inputs = _Inputs(spark, folder, t.users)
+    return af.build_features(inputs.test.select(*C.pair), inputs.users, inputs.items, None, "left", C,
+                             extra=t.tips(spark, folder), extra_features=("tips", "likes"))
+
+
+def features_numeric_text(spark, folder):
+    inputs = _Inputs(spark, folder, t.users)
+    users = inputs.users.withColumn("postal_code", F.concat(
+        F.when(F.col("user_id") % 7 == 0, F.lit("N")).otherwise(F.lit("0")), F.col("user_id").cast("string")))
+    return af.build_features(inputs.test.select(*C.pair), users, inputs.items, None, "left", C,
+                             (*USER_FEATURES, "postal_code"), numeric_text=("postal_code",))
+
+
+def model_stump(spark, folder):
+    inputs, names = _Inputs(spark, folder, t.users), ("user_min",)
+    model = af.fit_model(inputs.model_features(inputs.train.select(*C.pair, "stars"), "inner"), names, C, **STUMP)
+    scored = af.predict_model(model, inputs.model_features(inputs.test.select(*C.pair), "left"), names, C)
+    return rounded(scored, "prediction")
+
+
+def hybrid_stump(spark, folder):
+    inputs, names = _Inputs(spark, folder, t.hybrid_users), ("business_avg_stars",)
+    train, test = inputs.train, inputs.test
+    model = af.fit_model(inputs.hybrid_features(train.select(*C.pair, "stars"), "inner"), names, C, **STUMP)
+    scored = af.predict_model(model, inputs.hybrid_features(test.select(*C.pair), "left"), names, C)
+    cf = af.predict_item_cf(train, test, C, rho=6.0, distinct=True)
+    return rounded(af.predict_hybrid(cf, scored, af.hybrid_weight(train, test, C), C), "prediction")
+
+
+def _new_path(spark, name):
+    return f"{staging_root(spark)}/affinis/{name}-{uuid.uuid4().hex}"
+
+
+def ratings_csv(spark, folder):
+    path = _new_path(spark, "ratings")
+    af.write_ratings(t.train(spark, folder).select("user_id", "item_id", "stars"), path)
+    return af.read_ratings(spark, path)
+
+
+def profiles_json(spark, folder):
+    path = _new_path(spark, "profiles")
+    t.hybrid_users(spark, folder).withColumn("user_id", F.col("user_id").cast("string")).write.json(path)
+    return af.read_user_profiles(spark, path, USER_FEATURES + COMPLIMENT_FEATURES[:2])
+
+
+def pairs_sink(spark, folder):
+    path = _new_path(spark, "pairs")
+    af.write_pairs(similar_sets_exact(spark, folder).select("a", "b", "similarity"), path)
+    return af.read_similar_pairs(spark, path)
+
+
+def predictions_sink(spark, folder):
+    path = _new_path(spark, "predictions")
+    af.write_predictions(item_cf(rho=2.5)(spark, folder).select("user_id", "item_id", "prediction"), path)
+    return af.read_predictions(spark, path)
+
+
 def model_predictions(spark, folder):
     inputs = _Inputs(spark, folder, t.users)
     train = inputs.model_features(inputs.train.select(*C.pair, "stars"), "inner")
@@ -218,6 +313,7 @@ QUERIES: dict[str, Query] = {
     "cold_start_cells": cold_start_cells,
     "user_codes": user_codes,
     "minhash_signatures": minhash_signatures,
+    "lsh_universal": lsh_universal,
     "lsh_bands": lsh_bands,
     "lsh_candidates": lsh_candidates,
     "similar_items_lsh": similar_items_lsh,
@@ -236,12 +332,25 @@ QUERIES: dict[str, Query] = {
     "item_cf_rescaled": item_cf(rho=2.5, rescale=True),
     "item_cf_whole_stars": item_cf(rho=2.5, round_to=0),
     "item_cf_cold_default": item_cf(rho=2.5, cold="default"),
+    "item_cf_half_stars": item_cf_half_stars,
+    "item_cf_repeated_rows": item_cf_repeated_rows,
+    "co_rated_similarity": co_rated_similarity,
     "user_rating_stats": user_rating_stats,
     "user_sample_variance": user_sample_variance,
     "label_encode": label_encode,
     "train_features": train_features,
     "test_features": test_features,
     "hybrid_features": hybrid_features,
+    "hybrid_train_features": hybrid_train_features,
+    "feature_vectors": feature_vectors,
+    "features_with_extra": features_with_extra,
+    "features_numeric_text": features_numeric_text,
+    "model_stump": model_stump,
+    "hybrid_stump": hybrid_stump,
+    "ratings_csv": ratings_csv,
+    "profiles_json": profiles_json,
+    "pairs_sink": pairs_sink,
+    "predictions_sink": predictions_sink,
     "model_predictions": model_predictions,
     "hybrid_weight": hybrid_weight,
     "hybrid_weight_lifted": hybrid_weight_lifted,

@@ -78,6 +78,12 @@ def _user_profiles(lines: DataFrame, spark: SparkSession, folder: str, counters:
         F.countDistinct("sk").alias("useful"), F.countDistinct("ok").alias("fans"), *counters)
 
 
+def tips(spark: SparkSession, folder: str) -> DataFrame:
+    """A profile keyed by user and item: number of ratings, and of those of four stars or more."""
+    return ratings(spark, folder).where("ok % 3 = 0").groupBy("user_id", "item_id").agg(
+        F.count(F.lit(1)).alias("tips"), F.count_if(F.col("stars") >= 4).alias("likes"))
+
+
 def items(spark: SparkSession, folder: str) -> DataFrame:
     """Profiles of the parts above size 1, with the average in half stars rounded half up."""
     listed = table(spark, folder, "part").where("p_size > 1").select(F.col("p_partkey").alias("item_id"))

@@ -1,8 +1,13 @@
+import math
 import random
+from fractions import Fraction
 
 import pytest
+from pyspark.sql import functions as F
 
 import affinis as af
+from affinis.functions.similarity import exact_terms, pearson_quotient
+from affinis.operators import itemcf
 from affinis.operators.itemcf import repeat_rows
 from tests.brute import Ratings
 
@@ -174,23 +179,61 @@ def test_half_stars(spark):
         af.predict_item_cf(table(spark, rows), asked(spark, tests), C).collect()
 
 
-def test_decimal_terms_for_very_popular_items(spark):
-    rows = [(f"u{j}", "x", 1 + j % 5) for j in range(40)] + [(f"u{j}", "y", 1 + (j * 7) % 5) for j in range(30)]
-    truth = Ratings(rows)
-    from affinis.functions.similarity import EXACT, exact_type
-    from affinis.operators import itemcf
-
-    assert exact_type("common", 1000, 5) == "bigint" and exact_type("common", 10**6, 5) == EXACT
-    popular = itemcf.ItemExtent(2, 10**9, 5)
-    rated = itemcf.materialize(itemcf.pair_ratings(table(spark, rows), C), "rated")
-    wanted = itemcf.co_rating_sums(rated, None)
-    for side in ("a", "b"):
-        totals = itemcf.item_totals(rated).select(
-            *[itemcf.F.col(c).alias(side if c == "item" else f"{c}_{side}") for c in ("item", *itemcf.ITEM_COLUMNS)])
-        wanted = wanted.join(totals, side)
-    for mode in ("common", "default_voting"):
-        row = itemcf._with_similarity(wanted, popular, mode, None).first()
-        assert row.similarity == pytest.approx(truth.similarity("x", "y", mode), abs=1e-12)
+def pair_row(spark, **values):
+    names = ("total", "rows", "sum", "squares", "all_sum", "all_squares", "raters")
+    row = {f"{x}_{side}": values[f"{x}_{side}"] for x in names for side in "ab"}
+    row |= {"n_common": values["n_common"], "products": values["products"]}
+    return spark.createDataFrame([row], ", ".join(f"{x} bigint" for x in row))
+
+
+def exact_similarity(v, mode):
+    """From the definition, in fractions: groups of raters that gave the same stars."""
+    mean = {x: Fraction(v[f"total_{x}"], v[f"rows_{x}"]) for x in "ab"}
+    vote = {x: Fraction(v[f"sum_{x}"], v["n_common"]) for x in "ab"}
+    top = v["products"] - mean["a"] * v["sum_b"] - mean["b"] * v["sum_a"] + v["n_common"] * mean["a"] * mean["b"]
+    norm = {x: v[f"squares_{x}"] - 2 * mean[x] * v[f"sum_{x}"] + v["n_common"] * mean[x] ** 2 for x in "ab"}
+    if mode == "default_voting":
+        for x, y in ("ab", "ba"):
+            only = v[f"raters_{x}"] - v["n_common"]
+            top += (v[f"all_sum_{x}"] - v[f"sum_{x}"] - only * mean[x]) * (vote[y] - mean[y])
+            norm[x] += (v[f"all_squares_{x}"] - v[f"squares_{x}"] - 2 * mean[x] * (v[f"all_sum_{x}"] - v[f"sum_{x}"])
+                        + only * mean[x] ** 2)
+            norm[y] += only * (vote[y] - mean[y]) ** 2
+    return float(top) / math.sqrt(norm["a"]) / math.sqrt(norm["b"])
+
+
+@pytest.mark.parametrize("raters", [40, 100_000, 50_000_000, 1_000_000_000])
+@pytest.mark.parametrize("mode", ["common", "default_voting"])
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_terms_hold_items_of_any_number_of_ratings(spark, raters, mode, ansi):
+    """Each item has ``raters`` raters, half of them common: fives and ones, and a quarter of the common ones disagree."""
+    n, common = raters, raters // 2
+    agree, differ = common * 3 // 4, common - common * 3 // 4
+    fives_a, fives_b = agree // 2 + differ, agree // 2
+    ones_a, ones_b = common - fives_a, common - fives_b
+    v = {"n_common": common, "products": (agree // 2) * 25 + differ * 5 + (common - agree // 2 - differ)}
+    for x, fives, ones in (("a", fives_a, ones_a), ("b", fives_b, ones_b)):
+        v |= {f"sum_{x}": 5 * fives + ones, f"squares_{x}": 25 * fives + ones}
+        rest = n - common  # all threes
+        v |= {f"all_sum_{x}": v[f"sum_{x}"] + 3 * rest, f"all_squares_{x}": v[f"squares_{x}"] + 9 * rest,
+              f"raters_{x}": n, f"rows_{x}": n, f"total_{x}": v[f"sum_{x}"] + 3 * rest}
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        row = pair_row(spark, **v).withColumns({f"_{k}": F.expr(sql) for k, sql in exact_terms(mode, 5).items()})
+        found = row.select(pearson_quotient(F.col("_top"), F.col("_norm_a"), F.col("_norm_b"))).first()[0]
+    finally:
+        spark.conf.unset("spark.sql.ansi.enabled")
+    assert found == pytest.approx(exact_similarity(v, mode), rel=1e-9)
+
+
+def test_only_rows_of_wanted_pairs_are_summed(spark):
+    data, _ = random_ratings(5)
+    rated = itemcf.materialize(itemcf.pair_ratings(table(spark, data), C), "rated")
+    wanted = itemcf.materialize(spark.createDataFrame([("i00", "i01"), ("i02", "i05")], "a string, b string"), "wanted")
+    every = itemcf.co_rated_rows(rated, None).collect()
+    for heavy in (2_000, 3):  # by profile, and with most profiles heavy
+        rows = itemcf.co_rated_rows(rated, wanted, heavy).collect()
+        assert sorted(rows) == sorted(r for r in every if (r.a, r.b) in {("i00", "i01"), ("i02", "i05")})
 
 
 def test_result_does_not_depend_on_partitions(spark):

@@ -1,6 +1,8 @@
 import random
+from collections import defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 import affinis as af
 from affinis.operators import jaccard
@@ -59,7 +61,11 @@ def test_candidates_are_all_pairs_that_share_a_bucket(spark, block):
     df = spark.createDataFrame(rows, SCHEMA)
     found = af.lsh_candidates(df, "item", "member", bands=8, rows=3, block=block).collect()
     assert len(found) == len(set(found))
-    assert {(r.a, r.b) for r in found} == brute.bucket_pairs(rows, 8, 3)
+    sets = defaultdict(set)
+    for name, member in rows:
+        sets[name].add(member)
+    least = {min(x for x in sets if sets[x] == held) for held in sets.values()}
+    assert {(r.a, r.b) for r in found} == {p for p in brute.bucket_pairs(rows, 8, 3) if set(p) <= least}
 
 
 def test_universal_hashes_find_the_copies(spark):
@@ -125,3 +131,42 @@ def test_compatible_sizes_keep_every_pair_at_the_threshold(spark):
     for threshold in (0.3, 0.5, 0.7, 1.0):
         kept = {(r.n_a, r.n_b) for r in sizes.where(jaccard._compatible(threshold)).collect()}
         assert kept >= {(a, b) for a in range(1, 60) for b in range(1, 60) if min(a, b) / max(a, b) >= threshold}
+
+
+@pytest.mark.parametrize("threshold, small, large", [(0.2, 59_039_439, 295_197_195), (0.55, 917_468_365, 1_668_124_300),
+                                                     (0.1, 10**12, 10**13), (0.07, 7 * 10**11, 10**13)])
+def test_thresholds_are_exact_for_sets_of_any_size(spark, threshold, small, large):
+    """A subset whose similarity is exactly the threshold passes; one member less doesn't."""
+    rows = spark.createDataFrame([(small, large, small), (small - 1, large, small - 1)], "n_a bigint, n_b bigint, common bigint")
+    rows = rows.withColumns({"reach_a": F.col("common"), "reach_b": F.col("common"), "n": F.col("n_b"), "reach": F.col("common")})
+    found = rows.select(jaccard._compatible(threshold), jaccard._reachable(threshold), jaccard._in_prefix(threshold)).collect()
+    assert [tuple(r) for r in found] == [(True,) * 3, (False,) * 3]
+
+
+def test_baskets_of_texts_hold_every_script_and_short_texts(spark, tmp_path):
+    from affinis.plans.tables import shingles
+
+    texts = [(1, "Été à Łódź, naïve!"), (2, "два слова"), (3, "日本語"), (4, "..."), (5, "")]
+    spark.createDataFrame(texts, "doc_id bigint, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    found = {(r["item"], r.member) for r in shingles(spark, str(tmp_path)).collect()}
+    assert found == {(1, "été à łódź"), (1, "à łódź naïve"), (2, "два слова"), (3, "日本語")}
+
+
+def test_copies_come_as_families(spark):
+    rows = [(i, m) for i in range(1, 6) for m in "abc"] + [(9, m) for m in "abcd"]
+    df = spark.createDataFrame(rows, "item bigint, member string")
+    for find in (af.similar_sets_exact, af.similar_sets_lsh):
+        pairs, baskets = find(df, "item", "member")
+        assert [tuple(r) for r in pairs.collect()] == [(1, 9, 0.75)]
+        assert {tuple(r) for r in baskets.families().collect()} == {(1, i) for i in range(1, 6)} | {(9, 9)}
+
+
+def test_stored_tables_go_with_their_scope(spark):
+    import os
+
+    from affinis.operators.staging import materialize
+
+    with af.stored_tables(spark):
+        path = materialize(spark.range(3), "scoped").inputFiles()[0].removeprefix("file://")
+        assert os.path.exists(path)
+    assert not os.path.exists(os.path.dirname(path))
