@@ -11,6 +11,7 @@ from affinis.llm.decontaminate import contaminated, with_parts
 from affinis.llm.language import identify, page_records, train
 from affinis.llm.mixing import plan_mix
 from affinis.llm.near_dedup import near_duplicates
+from affinis.llm.oracles import ORACLES
 from affinis.llm.ordinal import score
 from affinis.llm.ordinal import train as train_grades
 from affinis.llm.pii import personal_data
@@ -21,6 +22,8 @@ from affinis.llm.tokens import token_counts
 
 TOKENIZER = "byte_bpe_50k.json"
 
+__all__ = ["ORACLES", "QUERIES"]
+
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     ship_package(spark)
@@ -98,4 +101,3 @@ QUERIES = {
     "op9_exact_search": op9_exact_search,
     "op10_pii": op10_pii,
 }
-ORACLES: dict[str, str] = {}
