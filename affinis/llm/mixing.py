@@ -185,7 +185,7 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", source: str = "source", text: s
 
     def picked(word: Column, k: Column) -> Column:
         j = F.call_function("div", taken["at"] + k.cast("long"), F.lit(block).cast("long"))
-        return _picked(j + 1, taken) > _picked(j, taken)
+        return (j < taken["blocks"]) & (_picked(j + 1, taken) > _picked(j, taken))  # the rest behind the last block stays out
 
     words = F.regexp_extract_all(F.col(text), F.lit(WORD + "[\\x20\\x09-\\x0D]*"), F.lit(0))
     cut = F.when(taken["taken"] == taken["size"], F.col(text)).otherwise(F.array_join(F.filter(words, picked), ""))

@@ -132,7 +132,8 @@ def fit_ordinal(columns: np.ndarray, starts: np.ndarray, grades: np.ndarray, epo
 def train(docs: DataFrame, grades: DataFrame, doc_id: str = "doc_id", text: str = "text", limit: int = FIT_ROWS) -> OrdinalModel:
     """Fit on about ``limit`` of the documents that ``grades (doc_id, grade)`` covers, picked by a hash of the id.
 
-    Only feature numbers and grades of the sample come to the driver. Rows with a null id or grade are passed over.
+    The sample's feature numbers are fitted in one task, and the driver gets the weights. Rows with a null id or grade are passed
+    over; without rows the weights are zero.
     """
     known = grades.where("doc_id is not null and grade is not null")
     part = min(1.0, limit / max(1, known.count()))
@@ -146,17 +147,32 @@ def train(docs: DataFrame, grades: DataFrame, doc_id: str = "doc_id", text: str
                 columns, starts = features(texts.slice(i, j - i))
                 lists = pa.ListArray.from_arrays(pa.array(starts, pa.int32()), pa.array(columns, pa.int32()))
                 own = batch.slice(i, j - i)
-                yield pa.RecordBatch.from_arrays([own.column("doc_id"), own.column("grade"), lists], names=["doc_id", "grade", "columns"])
+                yield pa.RecordBatch.from_arrays([own.column("mark"), own.column("grade"), lists], names=["mark", "grade", "columns"])
+
+    def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [b for b in batches if len(b)]
+        parts = [b.column("columns") for b in held]
+        sizes = np.concatenate([np.diff(np.asarray(p.offsets)) for p in parts]) if held else np.zeros(0, np.int64)
+        columns = np.concatenate([np.asarray(p.flatten()) for p in parts]) if held else np.zeros(0, np.int32)
+        keys = [np.concatenate([np.asarray(b.column(c)) for b in held]) if held else np.zeros(0, np.int64) for c in ("mark", "grade")]
+        starts = np.concatenate([[0], np.cumsum(sizes)])
+        # the same order, whatever the partitions were
+        order = np.lexsort((_sums(columns, starts), sizes, keys[1], keys[0]))
+        lengths = sizes[order]
+        inner = np.concatenate([[0], np.cumsum(lengths)])
+        columns = columns[np.repeat(starts[:-1][order] - inner[:-1], lengths) + np.arange(inner[-1])]
+        model = fit_ordinal(columns, inner, keys[1][order].astype(np.int64))
+        yield pa.RecordBatch.from_arrays([pa.array([model.weights.tobytes()], pa.binary()), pa.array([model.thresholds.tolist()])],
+                                         names=["weights", "thresholds"])
 
     rows = docs.select(F.col(doc_id).alias("doc_id"), text_of(text).alias("text")).join(known, "doc_id")
-    kind = rows.schema["doc_id"].dataType.simpleString()
-    sample = rows.mapInArrow(extract, f"doc_id {kind}, grade long, columns array<int>").toPandas()
-    sample["size"] = sample["columns"].map(len)
-    sample["sum"] = sample["columns"].map(lambda x: int(np.sum(x)))
-    sample = sample.sort_values(["doc_id", "grade", "size", "sum"])  # the same order, whatever the partitions were
-    starts = np.concatenate([[0], np.cumsum(sample["size"].to_numpy(np.int64))])
-    columns = np.concatenate(sample["columns"].to_list()) if len(sample) else np.zeros(0, np.int64)
-    return fit_ordinal(columns.astype(np.int64), starts, sample["grade"].to_numpy(np.int64))
+    sample = rows.select(F.xxhash64("doc_id").alias("mark"), "grade", "text").mapInArrow(
+        extract, "mark long, grade long, columns array<int>")
+    # one task holds the bounded sample
+    found = sample.repartition(1).mapInArrow(fit, "weights binary, thresholds array<double>").first()
+    if found is None:
+        return fit_ordinal(np.zeros(0, np.int64), np.zeros(1, np.int64), np.zeros(0, np.int64))
+    return OrdinalModel(np.frombuffer(bytes(found.weights), np.float32), np.array(found.thresholds))
 
 
 def score(docs: DataFrame, model: OrdinalModel, doc_id: str = "doc_id", text: str = "text", least: float = 0.5) -> DataFrame:

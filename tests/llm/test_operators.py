@@ -92,10 +92,10 @@ def items_of(spark, rows):
 
 def test_decontamination_finds_what_brute_force_finds(spark):
     draw = random.Random(2)
-    items = [(k, prose(draw, draw.randint(6, 90)), prose(draw, draw.randint(0, 6))) for k in range(60)]
+    items = [(k, prose(draw, draw.randint(6, 60)), prose(draw, draw.randint(0, 6))) for k in range(25)]
     texts = []
-    for k in range(150):
-        text = prose(draw, draw.randint(0, 400)).split()
+    for k in range(60):
+        text = prose(draw, draw.randint(0, 150)).split()
         if k % 3 == 0:
             _, q, a = draw.choice(items)
             part = q.split() + a.split()
@@ -122,7 +122,7 @@ def test_decontamination_finds_what_brute_force_finds(spark):
     found = {(r.doc_id, r.item_id) for r in decontaminate.contaminated(documents(spark, texts), items_of(spark, items)).collect()}
     assert expected and expected <= found  # a passage is twice as long as an item, so it may hold more than a tight window
     clean = decontaminate.drop_contaminated(documents(spark, texts), items_of(spark, items))
-    assert {r.doc_id for r in clean.collect()} == set(range(150)) - {d for d, _ in found}
+    assert {r.doc_id for r in clean.collect()} == set(range(60)) - {d for d, _ in found}
 
 
 def test_pruning_retrieves_every_item_above_the_threshold(spark):
