@@ -98,6 +98,23 @@ def components(edges: DataFrame) -> DataFrame:
     return labels.unionByName(labels.select(F.col("label").alias("node"), "label").distinct())
 
 
+def merged_components(labels: DataFrame, edges: DataFrame) -> DataFrame:
+    """``labels (node, label)`` after adding the ``edges (a, b)``; only the classes that these join are worked on."""
+    if edges.isEmpty():
+        return labels
+    for side in "ab":
+        known = labels.select(F.col("node").alias(side), F.col("label").alias(f"label_{side}"))
+        edges = edges.join(known, side, "left")
+    edges = materialize(edges.select("a", "b", *[F.coalesce(f"label_{x}", x).alias(f"label_{x}") for x in "ab"]), "new-links")
+    joined = components(edges.select(F.col("label_a").alias("a"), F.col("label_b").alias("b")))
+    joined = joined.select(F.col("node").alias("label"), F.col("label").alias("least"))
+    nodes = labels
+    for side in "ab":
+        nodes = nodes.unionByName(edges.select(F.col(side).alias("node"), F.col(f"label_{side}").alias("label")))
+    nodes = nodes.distinct().join(joined, "label", "left").select("node", F.coalesce("least", "label").alias("label"))
+    return materialize(nodes, "labels")
+
+
 def _state(edges: DataFrame) -> tuple:
     """Number and checksum of the edges."""
     return tuple(edges.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("a", "b")), F.bit_xor(F.xxhash64("b", "a"))).first())

@@ -10,8 +10,8 @@ earliest kept point that fell on it, so two registers agree with exactly the wei
 ends as soon as its time exceeds the latest register of its text: long texts cost about one point a shingle.
 
 Candidates are texts that share a band of registers. Equal texts count once. First each bucket is compared with its
-best-connected member only, which settles groups of copies in linear work. Then every bucket that still holds several classes
-has all members of different classes compared, in blocks; pairs whose sizes or sketches (one byte a register) rule out the
+best-connected member only, then what is still apart with a member drawn at random in each bucket; that settles groups of copies in
+linear work. Then every bucket that still holds several classes has all members of different classes compared, in blocks; pairs whose sizes or sketches (one byte a register) rule out the
 threshold go before verification. Every candidate is verified on the exact multisets. Texts of no candidate are kept out of that by a
 bitmap of fixed size; what it lets through by chance goes in the join.
 
@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from affinis.llm import words as W
-from affinis.llm.common import components, fingerprint, text_of, unused
+from affinis.llm.common import components, fingerprint, merged_components, text_of, unused
 from affinis.operators.staging import materialize, self_pairs
 
 THRESHOLD = 0.8
@@ -187,55 +187,82 @@ def near_duplicate_classes(docs: DataFrame, text: str = "text", threshold: float
     members = sigs.select("id", F.explode("bands").alias("band"))
     sizes = members.groupBy("band").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
     members = materialize(members.join(sizes, "band"), "buckets")
+    elements = _elements(members.select("id").distinct().join(sigs.select("id", "fp"), "id"), texts)
+    light = sigs.select("id", "weight", "sketch")
     # the text that shares most buckets with others is compared with each of them first
     degree = members.groupBy("id").agg(F.sum("size").alias("degree"))
-    ranked = members.join(degree, "id").select("band", "id", F.struct("degree", F.col("id")).alias("rank"))
-    centre = ranked.groupBy("band").agg(F.max("rank").alias("rank")).select("band", F.col("rank.id").alias("centre"))
-    star = members.join(centre, "band").where("id <> centre").select(
-        F.least("id", "centre").alias("a"), F.greatest("id", "centre").alias("b")).distinct()
-    first = materialize(_verified(star, sigs, texts, threshold), "star-links")
-    labels = components(first)
-
-    # buckets that still hold several classes
+    ranked = members.join(degree, "id").select("band", "id", F.struct("degree", "id").alias("rank"), F.col("id").alias("label"))
+    links = _verified(_star(ranked, light, registers, threshold), elements, threshold)
+    labels = components(links.select("a", "b"))
+    # then what is still apart with another member of the class it may belong to, drawn at random in each bucket
+    mixed = _mixed(members, labels)
+    ranked = mixed.withColumn("rank", F.struct(F.xxhash64("band", "id").alias("draw"), "id"))
+    found = _verified(_star(ranked, light, registers, threshold), elements, threshold)
+    links, labels = links.unionByName(found), merged_components(labels, found.select("a", "b"))
+
+    # all pairs of different classes that still share a bucket
+    rest = _mixed(mixed, labels).join(light, "id")
+    rest = materialize(rest.select("band", "id", "label", "weight", "sketch"), "mixed-buckets")
+    apart = (F.col("label_a") != F.col("label_b")) & _sizes_allow("weight_a", "weight_b", threshold)
+    pairs = self_pairs(rest, ["band"], "id", ("label", "weight", "sketch"), apart, block=2000)
+    pairs = _sketches_allow(pairs, registers, threshold).join(links, ["a", "b"], "left_anti")
+    found = _verified(pairs, elements, threshold)
+    links, labels = links.unionByName(found), merged_components(labels, found.select("a", "b"))
+    named = sigs.select("fp", F.col("id").alias("node"))
+    classes = labels.join(named, "node").select("fp", F.col("node").alias("id"), "label")
+    return materialize(classes, "classes"), links
+
+
+def _mixed(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """``band, id, label`` of the buckets that hold several classes."""
     sides = members.select("band", "id").join(labels.withColumnRenamed("node", "id"), "id", "left")
-    sides = sides.withColumn("label", F.coalesce("label", "id"))
+    sides = materialize(sides.withColumn("label", F.coalesce("label", "id")), "sides")
     mixed = sides.groupBy("band").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high")
-    rest = sides.join(mixed.select("band"), "band").join(sigs.select("id", "weight", "sketch"), "id")
-    rest = materialize(rest.select("band", "id", "label", "weight", "sketch"), "mixed-buckets")
-    near = (F.col("label_a") != F.col("label_b")) & (
-        F.least("weight_a", "weight_b") >= F.lit(threshold - 1e-6) * F.greatest("weight_a", "weight_b"))
-    pairs = self_pairs(rest, ["band"], "id", ("label", "weight", "sketch"), near, block=2000)
-    # six standard deviations below the threshold: less likely to lose a pair than banding is
+    return sides.join(mixed.select("band"), "band")
+
+
+def _sizes_allow(a: str, b: str, threshold: float) -> Column:
+    return F.least(a, b) >= F.lit(threshold - 1e-6) * F.greatest(a, b)
+
+
+def _star(ranked: DataFrame, light: DataFrame, registers: int, threshold: float) -> DataFrame:
+    """Pairs ``(a, b)`` of each bucket's highest-ranked member with those of other classes, where sizes and sketches allow it."""
+    centre = ranked.groupBy("band").agg(F.max(F.struct("rank", "label")).alias("best")).select(
+        "band", F.col("best.rank.id").alias("centre"), F.col("best.label").alias("centre_label"))
+    star = ranked.join(centre, "band").where("label <> centre_label").select(
+        F.least("id", "centre").alias("id_a"), F.greatest("id", "centre").alias("id_b")).distinct()
+    for side in "ab":
+        star = star.join(light.select(*[F.col(c).alias(f"{c}_{side}") for c in light.columns]), f"id_{side}")
+    return _sketches_allow(star.where(_sizes_allow("weight_a", "weight_b", threshold)), registers, threshold)
+
+
+def _sketches_allow(pairs: DataFrame, registers: int, threshold: float) -> DataFrame:
+    """Distinct ``(a, b)`` of the pairs whose sketches are at most six standard deviations from the threshold.
+
+    That loses less than banding does.
+    """
     shown = min(registers, SKETCH)
     least = int(shown * (threshold - 6 * (threshold * (1 - threshold) / shown) ** 0.5))
-    alike = pairs.select("id_a", "id_b", "sketch_a", "sketch_b").mapInArrow(_alike(shown, least), "a long, b long")
-    second = _verified(alike.distinct().join(first, ["a", "b"], "left_anti"), sigs, texts, threshold)
-    links = materialize(first.unionByName(second), "links")
-    labels = components(links.select("a", "b"))
-    named = sigs.select("fp", F.col("id").alias("node"))
-    classes = materialize(labels.join(named, "node").select("fp", F.col("node").alias("id"), "label"), "classes")
-    return classes, links
+    return pairs.select("id_a", "id_b", "sketch_a", "sketch_b").mapInArrow(_alike(shown, least), "a long, b long").distinct()
 
 
-def _verified(pairs: DataFrame, sigs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
-    """Pairs whose exact weighted Jaccard similarity reaches the threshold, with it."""
-    light = sigs.select("id", "weight", "fp")
-    near = F.least("weight_a", "weight_b") >= F.lit(threshold - 1e-6) * F.greatest("weight_a", "weight_b")
-    for side in "ab":
-        pairs = pairs.join(light.select(F.col("id").alias(side), F.col("weight").alias(f"weight_{side}")), side)
-    pairs = materialize(pairs.where(near).select("a", "b", "weight_a", "weight_b"), "candidates")
-    wanted = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
-    wanted = materialize(light.join(wanted, "id").select("id", "fp"), "wanted")
+def _elements(wanted: DataFrame, texts: DataFrame) -> DataFrame:
+    """``(id, elements)`` of the wanted ``(id, fp)``, stored; other texts are left out by a bitmap of their fingerprints."""
+    wanted = materialize(wanted, "wanted")
     likely = texts.select("fp", _bit().alias("bit"), "text").mapInArrow(
         _element_maker(_bitmap(wanted)), "fp binary, elements array<long>")
-    elements = likely.join(wanted, "fp").groupBy("id").agg(F.first("elements").alias("elements"))
-    elements = materialize(elements, "elements")
+    return materialize(likely.join(wanted, "fp").groupBy("id").agg(F.first("elements").alias("elements")), "elements")
+
+
+def _verified(pairs: DataFrame, elements: DataFrame, threshold: float) -> DataFrame:
+    """Pairs whose exact weighted Jaccard similarity reaches the threshold, with it; stored."""
+    pairs = materialize(pairs, "candidates")
     for side in "ab":
         pairs = pairs.join(elements.select(F.col("id").alias(side), F.col("elements").alias(f"elements_{side}")), side)
-    common = F.size(F.array_intersect("elements_a", "elements_b")).cast("long")
-    total = F.col("weight_a") + F.col("weight_b") - F.col("common")
-    return (pairs.withColumn("common", common).select("a", "b", (F.col("common") / total).alias("similarity"))
-            .where(F.col("similarity") >= F.lit(threshold)))
+    pairs = pairs.withColumn("common", F.size(F.array_intersect("elements_a", "elements_b")).cast("long"))
+    total = (F.size("elements_a") + F.size("elements_b")).cast("long")  # an element for each occurrence
+    similarity = F.col("common") / (total - F.col("common"))
+    return materialize(pairs.select("a", "b", similarity.alias("similarity")).where(F.col("similarity") >= F.lit(threshold)), "links")
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:

@@ -18,6 +18,7 @@ from tokenizers import Tokenizer
 
 from affinis.llm import decontaminate, language, mixing, near_dedup, ordinal, pii, resharding, search, token_files, tokens
 from affinis.llm import words as W
+from affinis.llm.common import components, merged_components
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars int, fp string, label string, id long, band long"
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -382,6 +383,19 @@ def test_classes_are_those_of_brute_force(spark):
     assert sorted(r.doc_id for r in kept.collect()) == sorted(set(expected.values()))
 
 
+def test_components_are_merged(spark):
+    draw = random.Random(17)
+    first, second = ([(draw.randrange(n), draw.randrange(n)) for _ in range(15)] for n in (40, 50))
+    least = {v: v for v in range(50)}
+    for _ in range(50):
+        for a, b in first + second:
+            least[a] = least[b] = min(least[a], least[b])
+    df = [spark.createDataFrame(e, "a long, b long") for e in (first, second)]
+    labels = merged_components(components(df[0]), df[1])
+    found = {r.node: r.label for r in labels.collect()}
+    assert {v: found.get(v, v) for v in least} == least
+
+
 def test_near_duplicates_of_odd_rows(odd, empty):
     rows = [(r.doc_id, r.class_id, r.class_rows) for r in near_dedup.near_duplicates(odd).collect()]
     assert collections.Counter(rows) == collections.Counter(
