@@ -131,7 +131,7 @@ _ANY_AT, _ANY_DOT = f"(?:{_AT}|{_BARE_AT}|@)", f"(?:{_DOT}|{_BARE_DOT}|\\.)"
 _BRACKETED = re.compile(f"(?P<at>{_AT})|(?P<dot>{_DOT})", re.IGNORECASE)
 _SPOKEN = re.compile(rf"(?<![A-Za-z0-9_%+-])[A-Za-z0-9_%+-]++(?:{_ANY_DOT}{_NAME}){{0,16}}?(?P<at>{_AT}|{_BARE_AT}|@){_NAME}(?:{_ANY_DOT}{_NAME})+", re.IGNORECASE)
 _DOTS = re.compile(f"{_DOT}|{_BARE_DOT}", re.IGNORECASE)
-_NUMBER = rf"(?:[0-9]+|(?:{_WORD})(?:[ \t-]+(?:{_WORD}))*)"
+_NUMBER = rf"(?:[0-9]++|(?:{_WORD})(?:[ \t-]+(?:{_WORD})){{0,2}})"  # a part of an address has three digits at most
 _SPOKEN_IP = re.compile(rf"(?<![^\W_]){_NUMBER}(?:{_ANY_DOT}{_NUMBER}){{3}}(?![^\W_])", re.IGNORECASE)
 _PLUS = re.compile(rf"(?<![^\W_])(?:plus|más)[ \t]+(?=(?:{_WORD})(?![^\W_])|[0-9])", re.IGNORECASE)
 
