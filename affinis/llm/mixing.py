@@ -1,6 +1,7 @@
 """Mixing sources to target weights by Sainte-Laguë apportionment of equal-token blocks.
 
-The documents of a source are dealt over shards by a seeded hash and lined up inside each in hash order. Read twice over, that line
+The documents of a source are dealt over shards by a seeded hash and lined up inside each in hash order. A source has as many shards as
+its own documents with words ask for, so a small one has a single shard however large the table is. Read twice over, that line
 is cut into blocks of ``block`` words. The words of the whole mix make a number of blocks; they are allocated to sources, and
 those of a source to its shards, by highest quotients (votes over 1, 3, 5, ...). So each shard knows how many blocks to give before
 any is picked, and no step sees more than one row per shard of a source. From the first pass of its line, and once that is used up
@@ -116,7 +117,7 @@ def plan_mix(docs: DataFrame, doc_id: str = "doc_id", source: str = "source", te
     """The mix, one row per row of ``docs``: ``doc_id, source, size, source_size, target, shard, quota, taken`` and what it is made of.
 
     ``taken`` is the number of the document's words in the mix, repeats counted; it is at most twice its size. The words of a
-    source miss its target by less than a block for every shard. Documents without words take none. Null texts have size 0, a
+    source miss its target by less than a block for every shard, one a ``shard_docs`` of its documents with words. Documents without words take none. Null texts have size 0, a
     null source is a source, repeated rows are documents of their own. The mix depends on ids, sizes and the seed only.
     ``carry`` names a column that is handed on as ``carried``.
     """
@@ -125,9 +126,17 @@ def plan_mix(docs: DataFrame, doc_id: str = "doc_id", source: str = "source", te
                        *carried)
     mark = F.md5(F.concat_ws(":", F.lit(str(seed)), F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))))
     rows = materialize(rows.withColumn("mark", mark), "sized")
-    shards = max(1, -(-rows.count() // shard_docs))
     number = F.conv(F.substring("mark", 1, 8), 16, 10).cast("long")
-    line = rows.withColumn("shard", number % shards)
+    sums = rows.groupBy("source").agg(F.count_if(F.col("size") > 0).alias("docs"), F.count(F.lit(1)).alias("rows"))
+    sums = materialize(sums, "source-rows")
+    spread = max(1, -(-(sums.agg(F.sum("rows")).first()[0] or 0) // shard_docs))
+    # a source of up to shard_docs documents has one shard, so there is at most one row here for so many documents
+    large = F.broadcast(sums.where(F.col("docs") > shard_docs).select(
+        F.col("source").alias("s"), F.ceil(F.col("docs") / shard_docs).cast("long").alias("shards")))
+    line = rows.join(large, F.col("source").eqNullSafe(F.col("s")), "left")
+    # documents without words take none wherever they are; they are kept out of the shards of the others
+    shard = F.when(F.col("size") > 0, number % F.coalesce("shards", F.lit(1).cast("long"))).otherwise(-1 - number % spread)
+    line = line.withColumn("shard", shard).drop("s", "shards")
     cells = line.groupBy("source", "shard").agg(F.sum("size").alias("cell"))
     cells = materialize(cells, "cells")
     sources = source_targets(cells.groupBy("source").agg(F.sum("cell").alias("source_size")), **targets)
