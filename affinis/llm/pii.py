@@ -2,8 +2,8 @@
 
 Plain identifiers are found by four patterns, leftmost and non-overlapping per kind, in time linear in the text.
 
-Disguised ones are found in a normalised copy. Transducers rewrite, from left to right: look-alike letters and digits of other
-scripts and full-width forms to ASCII; invisible characters to nothing; runs of spelled digits (English, French, German, Spanish) to
+Disguised ones are found in a normalised copy. Transducers rewrite, from left to right: look-alike letters of other scripts,
+decimal digits of all scripts and full-width forms to ASCII; invisible characters to nothing; runs of spelled digits (English, French, German, Spanish) to
 digits; bracketed or spelled "at", "dot", "plus" and their kin to the signs they stand for. Each character of the copy keeps the
 source span it was made of, so a match in the copy is mapped back to the span from the first character's start to the last one's
 end. Only the surroundings of a disguise are normalised and searched, and of their matches only those that a disguise took part in
@@ -106,6 +106,9 @@ _DIGIT = re.compile("[0-9]")
 _LOOKALIKES = dict(zip(
     "АВЕЅІЈКМНОРСТХУЗаеѕіјорсхуһԁԛԝ" "ΑΒΕΖΗΙΚΜΝΟΡΤΥΧονι",
     "ABESIJKMHOPCTXY3aesijopcxyhdqw" "ABEZHIKMNOPTYXovi", strict=True)) | {"․": ".", "。": ".", "‐": "-", "‑": "-", "–": "-", "−": "-"}
+#: decimal digits of all scripts come in rows of ten, in the order of their value
+_ZEROS = [c for c in map(chr, range(128, 0x110000)) if unicodedata.decimal(c, None) == 0]
+_FOLDED = {ord(zero) + k: str(k) for zero in _ZEROS for k in range(10)}
 _INVISIBLE = frozenset("­​‌‍⁠﻿")
 # --- fixed values: digit words, 0 to 9
 _DIGIT_WORDS = {word: str(value) for row in (
@@ -137,11 +140,15 @@ _PLUS = re.compile(rf"(?<![^\W_])(?:plus|más)[ \t]+(?=(?:{_WORD})(?![^\W_])|[0-
 
 _HINT_DOT = re.compile(r"(?<![^\W_])(?:dot|punkt|point|punto)(?![^\W_])")
 _HINT_BRACKET = re.compile(rf"{_OPEN}[ \t]*(?:at|@|arobase|arroba|ät|dot|punkt|point|punto|\.)[ \t]*{_CLOSE}", re.IGNORECASE)
-_HINT_CHAR = re.compile(f"[{''.join(_LOOKALIKES)}{''.join(_INVISIBLE)}！-～]")
-_BETWEEN = re.compile(r"[ \t,.0-9-]*")
+_HINT_CHAR = re.compile(f"[{''.join(_LOOKALIKES)}{''.join(_INVISIBLE)}！-～{''.join(f'{zero}-{chr(ord(zero) + 9)}' for zero in _ZEROS)}]")
 _REACH = 200
 
 
+def _ascii_digits(text: str) -> str:
+    """The text with the decimal digits of all scripts as ASCII ones, in the same places."""
+    return text if text.isascii() else text.translate(_FOLDED)
+
+
 def _rewrites(text: str) -> list[tuple[int, int, str]]:
     """Non-overlapping (start, end, replacement), in order; of overlapping ones the earlier rule wins."""
     found: list[tuple[int, int, str]] = []
@@ -154,7 +161,9 @@ def _rewrites(text: str) -> list[tuple[int, int, str]]:
 
     for c in _HINT_CHAR.finditer(text):
         sign = c[0]
-        add(*c.span(), "" if sign in _INVISIBLE else _LOOKALIKES.get(sign) or unicodedata.normalize("NFKC", sign))
+        new = _LOOKALIKES.get(sign) or _FOLDED.get(ord(sign)) or unicodedata.normalize("NFKC", sign)
+        add(*c.span(), "" if sign in _INVISIBLE else new)
+    text = _ascii_digits(text)
     for m in _BRACKETED.finditer(text):
         add(*m.span(), "@" if m.lastgroup == "at" else ".")
     for m in _SPOKEN.finditer(text):
@@ -167,8 +176,11 @@ def _rewrites(text: str) -> list[tuple[int, int, str]]:
     for m in _SPOKEN_IP.finditer(text):
         for dot in _DOTS.finditer(text, m.start(), m.end()):
             add(*dot.span(), ".")
-        for row in _spelled(text, m.start(), m.end(), keep="."):
+        rows = _spelled(text, m.start(), m.end(), keep=".")
+        for row in rows:
             add(*row)
+        if rows and any(_ips(_DOTS.sub(".", _replaced(text, m.start(), m.end(), rows)))):
+            used[m.start():m.end()] = b"\1" * (m.end() - m.start())  # the dots of an address stay
     for m in _PLUS.finditer(text):
         add(*m.span(), "+")
     for m in _SPELLED.finditer(text):
@@ -192,6 +204,14 @@ def _spelled(text: str, start: int, end: int, keep: str = "") -> list[tuple[int,
     return rows
 
 
+def _replaced(text: str, start: int, end: int, rows: list[tuple[int, int, str]]) -> str:
+    out = []
+    for a, b, new in rows:
+        out += [text[start:a], new]
+        start = b
+    return "".join(out) + text[start:end]
+
+
 def normalise(text: str) -> tuple[str, list[int], list[int], list[bool]]:
     """The rewritten text; for each of its characters the start and end of its source, and whether it was rewritten."""
     out, starts, ends, changed, at = [], [], [], [], 0
@@ -215,22 +235,28 @@ def normalise(text: str) -> tuple[str, list[int], list[int], list[bool]]:
 
 
 @lru_cache(maxsize=1024)
-def _whole_words(words: tuple[str, ...]) -> re.Pattern:
-    return re.compile(rf"(?<![^\W_])(?:{'|'.join(words)})(?![^\W_])")
+def _whole_words(words: tuple[str, ...]) -> tuple[re.Pattern, re.Pattern]:
+    """The words as whole ones, and what makes a hint of one: two more of them or of numbers behind it."""
+    word = f"(?:{'|'.join(words)})"
+    return (re.compile(rf"(?<![^\W_]){word}(?![^\W_])"),
+            re.compile(rf"{word}(?:[ \t,.-]++(?:{word}|[0-9]++)(?![^\W_])){{2}}"))
 
 
 def _digit_words(low: str) -> list[tuple[int, int]]:
-    """Where three digit words or more follow each other, with nothing but digits, blanks and -,. between."""
-    present = tuple(w for w in _DIGIT_WORDS if w in low and _whole_words((w,)).search(low))
+    """Digit words with two more digit words or numbers behind them, or behind a number and a dot.
+
+    Every run that _SPELLED matches begins with the first, and in an address without dot words each spelled part is one of both
+    or stands among the two behind the first.
+    """
+    present = tuple(w for w in _DIGIT_WORDS if w in low and _whole_words((w,))[0].search(low))
     if not present:
         return []
-    found, run = [], []
-    for m in _whole_words(present).finditer(low):
-        if not run or not _BETWEEN.fullmatch(low, run[-1][1], m.start()):
-            run = []
-        run.append(m.span())
-        if len(run) >= 3:
-            found.append((run[0][0], m.end()) if len(run) == 3 else m.span())
+    found, (word, chain) = [], _whole_words(present)
+    for m in word.finditer(low):
+        if run := chain.match(low, m.start()):
+            found.append(run.span())
+        elif m.start() > 1 and low[m.start() - 1] == "." and "0" <= low[m.start() - 2] <= "9":
+            found.append(m.span())
     return found
 
 
@@ -239,9 +265,10 @@ def _hints(text: str) -> list[tuple[int, int]]:
     found = []
     if not text.isascii():
         found += [m.span() for m in _HINT_CHAR.finditer(text)]
-    low = text.lower()
+    folded = _ascii_digits(text)
+    low = folded.lower()
     if len(low) != len(text):  # a letter that lower case makes longer: its capital stays, so places agree
-        low = "".join(c.lower() if len(c.lower()) == 1 else c for c in text)
+        low = "".join(c.lower() if len(c.lower()) == 1 else c for c in folded)
     if any(w in low for w in ("dot", "punkt", "point", "punto")):
         found += [m.span() for m in _HINT_DOT.finditer(low)]
     found += _digit_words(low)
