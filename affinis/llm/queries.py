@@ -15,7 +15,7 @@ from affinis.llm.oracles import ORACLES
 from affinis.llm.ordinal import score
 from affinis.llm.ordinal import train as train_grades
 from affinis.llm.pii import personal_data
-from affinis.llm.resharding import OLD_SHARDS, reshard
+from affinis.llm.resharding import OLD_SHARDS, reshard_files
 from affinis.llm.search import search
 from affinis.llm.token_files import tokens_by_document
 from affinis.llm.tokens import token_counts
@@ -52,10 +52,10 @@ def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_resharding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """New shard and slot of every document, from shards by a hash of the id to shards of equal bytes."""
+    """New shard and slot of every document, from shards by a hash of the id to shards of equal bytes, read back from the written shards."""
     docs = _table(spark, sf_dir, "documents")
     old = F.pmod(F.xxhash64("doc_id"), F.lit(OLD_SHARDS))
-    return reshard(docs, old).select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+    return reshard_files(docs, old).select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
                                      F.lit(None).cast("int").alias("grown_shard"), "old_shard")
 
 

@@ -7,17 +7,22 @@ has one node a shard; its size is set by the shard numbers, not by the data.
 The rows of an old shard are lined up from large to small; the line is cut at the flow's amounts, the part that stays first. A row
 goes where its middle falls. So the cuts fall among small rows, and each shard misses its capacity by about one small row a cut.
 Places in the line are running totals over small buckets, so no shard is ever ordered as a whole.
+
+Then the affected shards are written anew, each row once: rows are told by a number that the placement carries. The result is taken
+from the files, read back.
 """
 
 from __future__ import annotations
 
 import heapq
+import uuid
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from affinis.llm.common import running_totals, text_of
-from affinis.operators.staging import materialize
+from affinis.llm.common import running_totals, text_of, unused
+from affinis.operators.staging import materialize, staging_root
 
 OLD_SHARDS, SHARDS = 32, 40
 ROW_BYTES = 16
@@ -104,17 +109,19 @@ def plan_transfers(sizes: dict[int, int], capacities: list[int]) -> dict[tuple[i
 
 
 def reshard(docs: DataFrame, old: Column, shards: int = SHARDS, doc_id: str = "doc_id", text: str = "text",
-            bucket_rows: int = BUCKET_ROWS) -> DataFrame:
+            bucket_rows: int = BUCKET_ROWS, carry: str | None = None) -> DataFrame:
     """New place of every row: ``doc_id, size, text_crc32, old_shard, shard, slot``.
 
     ``old`` gives the present shard, a whole number from 0 that every row has. ``slot`` numbers the rows of a new shard from 0 without gaps.
     Rows that stay and shards that neither give nor get rows are left where they are. Null texts have the size of the overhead and
-    checksum 0, repeated rows are rows of their own, an empty table gives none.
+    checksum 0, repeated rows are rows of their own, an empty table gives none. ``carry`` names a column that is handed on as
+    ``carried``.
     """
     mark = F.md5(F.coalesce(F.col(doc_id).cast("string"), F.lit("null")))
     rows = docs.select(F.col(doc_id).alias("doc_id"), row_bytes(text).alias("size"),
                        F.crc32(text_of(text).cast("binary")).alias("text_crc32"), old.cast("int").alias("old_shard"),
-                       mark.alias("mark"))
+                       mark.alias("mark"), *([F.col(carry).alias("carried")] if carry else []))
+    out = ["doc_id", "size", "text_crc32", "old_shard", "shard", *(["carried"] if carry else [])]
     rows = materialize(rows, "sized")
     found = rows.groupBy("old_shard").agg(F.sum("size").alias("size"), F.count(F.lit(1)).alias("rows")).collect()  # a row a shard
     sizes = {r.old_shard: r["size"] for r in found}
@@ -135,7 +142,7 @@ def reshard(docs: DataFrame, old: Column, shards: int = SHARDS, doc_id: str = "d
     cuts = F.broadcast(spark.createDataFrame(cuts, "_old int, shard int, _from long, _to long"))
     middle = F.col("at") * 2 + F.col("size")
     placed = line.join(cuts, (F.col("old_shard") == F.col("_old")) & (middle >= F.col("_from") * 2) & (middle < F.col("_to") * 2))
-    placed = materialize(placed.select("doc_id", "size", "text_crc32", "old_shard", "shard", "place"), "placed")
+    placed = materialize(placed.select(*out, "place"), "placed")
     groups = placed.groupBy(F.col("old_shard").alias("_old"), F.col("shard").alias("_new")).agg(
         F.min("place").alias("_first"), F.count(F.lit(1)).alias("_rows")).collect()  # as bounded as the cuts
     starts, used = [], {}
@@ -144,8 +151,7 @@ def reshard(docs: DataFrame, old: Column, shards: int = SHARDS, doc_id: str = "d
         used[g._new] = used.get(g._new, 0) + g._rows
     starts = F.broadcast(spark.createDataFrame(starts, "_old int, _new int, _shift long"))
     slot = (F.col("place") + F.col("_shift")).alias("slot")
-    return placed.join(starts, (F.col("old_shard") == F.col("_old")) & (F.col("shard") == F.col("_new"))).select(
-        "doc_id", "size", "text_crc32", "old_shard", "shard", slot)
+    return placed.join(starts, (F.col("old_shard") == F.col("_old")) & (F.col("shard") == F.col("_new"))).select(*out, slot)
 
 
 def affected_shards(placed: DataFrame) -> list[int]:
@@ -155,14 +161,43 @@ def affected_shards(placed: DataFrame) -> list[int]:
     return sorted(r.shard for r in both.collect())
 
 
-def rewrite(docs: DataFrame, placed: DataFrame, folder: str, doc_id: str = "doc_id", file_rows: int = 100_000) -> list[int]:
+def rewrite(docs: DataFrame, placed: DataFrame, folder: str, doc_id: str = "doc_id", file_rows: int = 100_000,
+            row: str | None = None) -> list[int]:
     """Write the affected shards of ``docs`` below ``folder`` (``shard=k``), in slot order, in files of ``file_rows`` rows; returns them.
 
-    Ids must be unique and not null here, since rows are told by them.
+    Each row is written once, with its slot. ``row`` names a column of ``docs`` that tells every row, which ``placed`` has as
+    ``carried``; it isn't written. Without it rows are told by their ids, and a null or repeated id is an error.
     """
     shards = affected_shards(placed)
-    places = placed.where(F.col("shard").isin(shards)).select(F.col("doc_id").alias("_id"), "shard", "slot")
-    whole = docs.join(places, F.col(doc_id) == F.col("_id")).drop("_id")
+    if row is None:
+        rows, ids = placed.agg(F.count(F.lit(1)), F.countDistinct("doc_id")).first()
+        if rows != ids:
+            raise ValueError(f"{rows} rows have {ids} different ids that are not null: name a column that tells the rows")
+    places = placed.where(F.col("shard").isin(shards)).select(F.col("carried" if row else "doc_id").alias("_id"), "shard", "slot")
+    whole = docs.join(places, F.col(row or doc_id) == F.col("_id")).drop("_id", *([row] if row else []))
     piece = F.call_function("div", F.col("slot"), F.lit(file_rows).cast("long"))
     whole.repartition("shard", piece).sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(folder)
     return shards
+
+
+def reshard_files(docs: DataFrame, old: Column, shards: int = SHARDS, doc_id: str = "doc_id", text: str = "text",
+                  folder: str | None = None, file_rows: int = 100_000, **options) -> DataFrame:
+    """The rows of ``reshard`` after the affected shards were written (to a new folder in the shared one, if none is given).
+
+    Rows of affected shards come from the files, with sizes and checksums of the texts found there; the others from the placement.
+    """
+    spark, row = docs.sparkSession, unused(docs, "_reshard_row")
+    # numbers come from stored rows, so they stay the same however often these are read
+    numbered = materialize(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
+    placed = materialize(reshard(numbered, old, shards, doc_id, text, carry=row, **options), "places")
+    folder = folder or f"{staging_root(spark)}/affinis/shards-{uuid.uuid4().hex}"
+    written = rewrite(numbered, placed, folder, doc_id, file_rows, row)
+    columns = ["doc_id", "size", "text_crc32", "old_shard", "shard", "slot"]
+    kept = placed.where(~F.col("shard").isin(written)).select(*columns)
+    if not written:
+        return kept
+    schema = T.StructType([*docs.schema.fields, T.StructField("slot", T.LongType()), T.StructField("shard", T.IntegerType())])
+    back = spark.read.schema(schema).parquet(folder).select(
+        F.col(doc_id).alias("doc_id"), row_bytes(text).alias("size"), F.crc32(text_of(text).cast("binary")).alias("text_crc32"),
+        old.cast("int").alias("old_shard"), "shard", "slot")
+    return kept.unionByName(back)
