@@ -33,6 +33,7 @@ from affinis.llm.common import text_of, unused
 from affinis.operators.staging import materialize
 
 TRAIN_ROWS = 4000
+LABEL_ROWS = 50
 GRAM_BITS = 15
 EVIDENCE = 100
 SMOOTH = 0.1
@@ -72,15 +73,34 @@ def _grams(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return gram, offsets
 
 
+def label_bound(counts: list[int], limit: int) -> float:
+    """The most rows of a label, so that all labels together have about ``limit``; at least LABEL_ROWS. Rarer labels are taken whole."""
+    left, bound = float(limit), float("inf")
+    for k, n in enumerate(sorted(counts)):
+        bound = left / (len(counts) - k)
+        if n > bound:
+            return max(bound, LABEL_ROWS)
+        left -= n
+    return float("inf")
+
+
 def train(rows: DataFrame, key: str = "doc_id", text: str = "text", label: str = "lang", limit: int = TRAIN_ROWS) -> LanguageModel:
-    """Fit the text model on about ``limit`` rows that have a label, picked by a hash of the key.
+    """Fit the text model on about ``limit`` rows that have a label: the same number of each label, and all rows of rarer ones.
 
-    Only counts of hashed trigrams by language come to the driver. Without labelled rows the model knows no language.
+    Rows of a label are picked by a hash of key and text. Only label counts and counts of hashed trigrams by language come to the
+    driver. Without labelled rows the model knows no language.
     """
     labelled = rows.select(F.col(key).alias("key"), text_of(text).alias("text"), F.lower(F.col(label).cast("string")).alias("label")).where(
         "label is not null")
-    part = min(1.0, limit / max(1, labelled.count()))
-    sample = labelled.where(F.pmod(F.xxhash64("key"), F.lit(1 << 20)) < F.lit(int(part * (1 << 20)))).select("text", "label")
+    counts = {r.label: r.n for r in labelled.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}  # a row a language
+    most = label_bound(list(counts.values()), limit)
+    cuts = [(name, int(most / n * (1 << 40))) for name, n in counts.items() if n > most]
+    sample = labelled
+    if cuts:
+        cuts = F.broadcast(rows.sparkSession.createDataFrame(cuts, "_label string, _below long"))
+        place = F.pmod(F.xxhash64("key", "text"), F.lit(1 << 40))
+        sample = sample.join(cuts, F.col("label") == F.col("_label"), "left").where(F.col("_below").isNull() | (place < F.col("_below")))
+    sample = sample.select("text", "label")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
