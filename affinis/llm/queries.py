@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from affinis.llm.common import ship_package
 from affinis.llm.decontaminate import contaminated, with_parts
 from affinis.llm.language import identify, page_records, train
+from affinis.llm.merkle import manifest
 from affinis.llm.mixing import plan_mix
 from affinis.llm.near_dedup import near_duplicates
 from affinis.llm.oracles import ORACLES
@@ -19,6 +20,8 @@ from affinis.llm.resharding import OLD_SHARDS, reshard_files
 from affinis.llm.search import search
 from affinis.llm.token_files import tokens_by_document
 from affinis.llm.tokens import token_counts
+from affinis.llm.warc import archived
+from affinis.llm.whitening import whiten
 
 TOKENIZER = "byte_bpe_50k.json"
 
@@ -89,6 +92,21 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return personal_data(_table(spark, sf_dir, "documents"))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaf, subroot, root, proof and check of every document."""
+    return manifest(_table(spark, sf_dir, "documents"))
+
+
+def op12_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The record of every page, read back from the packages."""
+    return archived(_table(spark, sf_dir, "pages"))
+
+
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Eight whitened components of every sound vector."""
+    return whiten(_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_token_counts": op1_token_counts,
     "op2_benchmark_decontamination": op2_benchmark_decontamination,
@@ -100,4 +118,7 @@ QUERIES = {
     "op8_language_id": op8_language_id,
     "op9_exact_search": op9_exact_search,
     "op10_pii": op10_pii,
+    "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_warc": op12_warc,
+    "op13_embedding_whitening": op13_embedding_whitening,
 }
