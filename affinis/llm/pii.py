@@ -6,8 +6,9 @@ Disguised ones are found in a normalised copy. Transducers rewrite, from left to
 decimal digits of all scripts and full-width forms to ASCII; invisible characters to nothing; runs of spelled digits (English, French, German, Spanish) to
 digits; bracketed or spelled "at", "dot", "plus" and their kin to the signs they stand for. Each character of the copy keeps the
 source span it was made of, so a match in the copy is mapped back to the span from the first character's start to the last one's
-end. Only the surroundings of a disguise are normalised and searched, and of their matches only those that a disguise took part in
-and that overlap no plain one are added.
+end. ASCII letters that look like digits count as such in a group of digits. Only the surroundings of a disguise are normalised and
+searched, and of their matches those that a disguise took part in are added, also where they reach over a plain one, as
+where only the head of an address is disguised; what lies inside a plain span of its kind is none of its own.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ from __future__ import annotations
 import hashlib
 import re
 import unicodedata
+from bisect import bisect_right
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -132,10 +134,17 @@ _NAME = r"[A-Za-z0-9-]+"
 _ANY_AT, _ANY_DOT = f"(?:{_AT}|{_BARE_AT}|@)", f"(?:{_DOT}|{_BARE_DOT}|\\.)"
 #: a bracketed sign counts wherever it is; a bare "at" or "dot" only inside name-at-host-dot-suffix or between numbers
 _BRACKETED = re.compile(f"(?P<at>{_AT})|(?P<dot>{_DOT})", re.IGNORECASE)
-_SPOKEN = re.compile(rf"(?<![A-Za-z0-9_%+-])[A-Za-z0-9_%+-]++(?:{_ANY_DOT}{_NAME}){{0,16}}?(?P<at>{_AT}|{_BARE_AT}|@){_NAME}(?:{_ANY_DOT}{_NAME})+", re.IGNORECASE)
+#: a run of dotted names, of any length, and the rest of an address if it follows; a run without one is passed over as a whole
+_SPOKEN = re.compile(rf"(?<![A-Za-z0-9_%+-])[A-Za-z0-9_%+-]++(?:{_ANY_DOT}[A-Za-z0-9_%+-]++)*+"
+                     rf"(?:(?P<at>{_AT}|{_BARE_AT}|@){_NAME}(?:{_ANY_DOT}{_NAME})+)?+", re.IGNORECASE)
 _DOTS = re.compile(f"{_DOT}|{_BARE_DOT}", re.IGNORECASE)
 _NUMBER = rf"(?:[0-9]++|(?:{_WORD})(?:[ \t-]+(?:{_WORD})){{0,2}})"  # a part of an address has three digits at most
 _SPOKEN_IP = re.compile(rf"(?<![^\W_]){_NUMBER}(?:{_ANY_DOT}{_NUMBER}){{3}}(?![^\W_])", re.IGNORECASE)
+#: groups of digits and letters drawn like them, and the letters' values
+_CONFUSED = re.compile(r"(?<![A-Za-z0-9])[0-9OoIl]++(?![A-Za-z0-9])(?:[ ().-]{1,2}[0-9OoIl]++(?![A-Za-z0-9]))*+")
+_CONFUSED_GROUP = re.compile("[0-9OoIl]+")
+_CONFUSED_PAIR = re.compile("[0-9][OoIl]|[OoIl][0-9]")
+_LETTER_DIGITS = {"O": "0", "o": "0", "I": "1", "l": "1"}
 _PLUS = re.compile(rf"(?<![^\W_])(?:plus|más)[ \t]+(?=(?:{_WORD})(?![^\W_])|[0-9])", re.IGNORECASE)
 
 _HINT_DOT = re.compile(r"(?<![^\W_])(?:dot|punkt|point|punto)(?![^\W_])")
@@ -167,6 +176,8 @@ def _rewrites(text: str) -> list[tuple[int, int, str]]:
     for m in _BRACKETED.finditer(text):
         add(*m.span(), "@" if m.lastgroup == "at" else ".")
     for m in _SPOKEN.finditer(text):
+        if m["at"] is None:
+            continue
         dots = list(_DOTS.finditer(text, m.start(), m.end()))
         if dots or m["at"].strip(" \t")[:1] in "[({<@":  # a bare "at" needs a spoken dot beside it
             if m["at"] != "@":
@@ -181,6 +192,10 @@ def _rewrites(text: str) -> list[tuple[int, int, str]]:
             add(*row)
         if rows and any(_ips(_DOTS.sub(".", _replaced(text, m.start(), m.end(), rows)))):
             used[m.start():m.end()] = b"\1" * (m.end() - m.start())  # the dots of an address stay
+    for start, end in _confused(text):
+        for k in range(start, end):
+            if text[k] in _LETTER_DIGITS:
+                add(k, k + 1, _LETTER_DIGITS[text[k]])
     for m in _PLUS.finditer(text):
         add(*m.span(), "+")
     for m in _SPELLED.finditer(text):
@@ -189,6 +204,18 @@ def _rewrites(text: str) -> list[tuple[int, int, str]]:
     return sorted(found)
 
 
+def _confused(text: str) -> list[tuple[int, int]]:
+    """Groups that hold digits and letters drawn like them, in runs of groups of which two thirds of the characters are digits."""
+    found: list[tuple[int, int]] = []
+    if _CONFUSED_PAIR.search(text):
+        for run in _CONFUSED.finditer(text):
+            groups = [g.span() for g in _CONFUSED_GROUP.finditer(text, *run.span())]
+            digits = len(_digits(run[0]))
+            if digits >= 4 and 3 * digits >= 2 * sum(b - a for a, b in groups):
+                found += [(a, b) for a, b in groups if _CONFUSED_PAIR.search(text, a, b)]
+    return found
+
+
 def _spelled(text: str, start: int, end: int, keep: str = "") -> list[tuple[int, int, str]]:
     """Digit words as digits; what is between two of them goes, unless it holds ``keep`` or a dot word."""
     rows, last = [], None
@@ -272,6 +299,7 @@ def _hints(text: str) -> list[tuple[int, int]]:
     if any(w in low for w in ("dot", "punkt", "point", "punto")):
         found += [m.span() for m in _HINT_DOT.finditer(low)]
     found += _digit_words(low)
+    found += _confused(folded)
     if "plus" in low or "más" in low:
         found += [m.span() for m in _PLUS.finditer(low)]
     if any(c in text for c in "[({<"):
@@ -280,7 +308,7 @@ def _hints(text: str) -> list[tuple[int, int]]:
 
 
 def hidden_spans(text: str, plain: list[Span]) -> list[Span]:
-    """Identifiers that show only after normalising; none overlaps a plain one."""
+    """Identifiers that show only after normalising; none lies inside a plain one of its kind."""
     regions: list[list[int]] = []
     for a, b in _hints(text):
         a, b = max(0, a - _REACH), min(len(text), b + _REACH)
@@ -300,13 +328,17 @@ def hidden_spans(text: str, plain: list[Span]) -> list[Span]:
             if any(changed[begin:end]):
                 found.append((kind, a + starts[begin], a + ends[end - 1]))
     if found and plain:
-        known = bytearray(len(text))
-        for _, a, b in plain:
-            known[a:b] = b"\1" * (b - a)
-        found = [s for s in found if known.find(1, s[1], s[2]) < 0]
+        # plain spans of a kind don't overlap, so the last one that begins at or before a span is the one that may hold it
+        starts = {kind: [s[1:] for s in plain if s[0] == kind] for kind in KINDS}
+        found = [s for s in found if not _inside(s, starts[s[0]])]
     return found
 
 
+def _inside(span: Span, plain: list[tuple[int, int]]) -> bool:
+    k = bisect_right(plain, span[1], key=lambda p: p[0])
+    return k > 0 and span[2] <= plain[k - 1][1]
+
+
 def find_spans(text: str) -> tuple[list[Span], list[Span]]:
     """Plain spans and all spans, each by kind in the order of KINDS, then by start; code points, end exclusive."""
     plain = plain_spans(text)
