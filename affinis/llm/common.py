@@ -49,6 +49,36 @@ def unused(df: DataFrame, name: str) -> str:
     return name
 
 
+def row_key(df: DataFrame, text: str = "text") -> Column:
+    """Key of a row by all its columns: the fingerprint of its text, and a hash of the others. Rows of one key can't be told apart."""
+    others = [F.col(f"`{c}`") for c in df.columns if c != text]
+    return F.struct(fingerprint(text).alias("fp"), F.xxhash64(*others, *[c.isNull() for c in others], F.col(text).isNull()).alias("rest"))
+
+
+COPIES_AT_ONCE = 1 << 16
+
+
+def expanded(df: DataFrame, copies: str, number: str, most: int | None = None, at_once: int = COPIES_AT_ONCE) -> DataFrame:
+    """Each row ``copies`` times, with ``number`` from 0; a row of more than ``at_once`` copies is dealt over the tasks in pieces.
+
+    ``most`` is the greatest number of copies, where it is known.
+    """
+    one = F.lit(1).cast("long")
+    if most is None:
+        most = df.agg(F.max(copies)).first()[0] or 0
+    if most <= 1:
+        return df.withColumn(number, F.lit(0).cast("long"))
+    block = unused(df, "_block")
+    if most > at_once:
+        pieces = F.sequence(F.lit(0).cast("long"), F.call_function("div", F.col(copies) - one, F.lit(at_once).cast("long")))
+        df = df.withColumn(block, F.explode(pieces))
+        df = df.repartition(*[c for c in df.columns if df.schema[c].dataType.typeName() != "map"])
+    else:
+        df = df.withColumn(block, F.lit(0).cast("long"))
+    first = F.col(block) * at_once
+    return df.withColumn(number, F.explode(F.sequence(first, F.least(first + at_once, F.col(copies)) - one))).drop(block)
+
+
 def running_totals(df: DataFrame, group: list[str], bucket: str, order: list[str], values: dict[str, str]) -> DataFrame:
     """Adds to each row the sum of every value column over the earlier rows of its group (``values``: column -> new name).
 

@@ -7,6 +7,9 @@ those of a source to its shards, by highest quotients (votes over 1, 3, 5, ...).
 any is picked, and no step sees more than one row per shard of a source. From the first pass of its line, and once that is used up
 from the second, a shard then picks its quota of blocks, evenly spaced from a seeded start, in the seeded order of the documents.
 How many of the first j blocks are picked is a formula, so no block becomes a row.
+
+Rows that can't be told apart are lined up as one entry with a number of copies, so a large group of them is one row until its copies
+have their places.
 """
 
 from __future__ import annotations
@@ -18,7 +21,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from affinis.llm.common import running_totals, unused
+from affinis.llm.common import expanded, row_key, running_totals, text_of, unused
 from affinis.operators.staging import materialize
 
 WEIGHTS = (3, 1, 2)
@@ -118,18 +121,22 @@ def plan_mix(docs: DataFrame, doc_id: str = "doc_id", source: str = "source", te
 
     ``taken`` is the number of the document's words in the mix, repeats counted; it is at most twice its size. The words of a
     source miss its target by less than a block for every shard, one a ``shard_docs`` of its documents with words. Documents without words take none. Null texts have size 0, a
-    null source is a source, repeated rows are documents of their own. The mix depends on ids, sizes and the seed only.
-    ``carry`` names a column that is handed on as ``carried``.
+    null source is a source, repeated rows are documents of their own. The mix depends on ids, texts and the seed only.
+    ``carry`` names a column that is handed on as ``carried``; ``copies`` tells how many rows are equal in all that is used here.
     """
     carried = [F.col(carry).alias("carried")] if carry else []
+    mark = F.md5(F.concat_ws(":", F.lit(str(seed)), F.coalesce(F.col(doc_id).cast("string"), F.lit("null")),
+                             F.md5(text_of(text).cast("binary"))))
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(source).cast("string").alias("source"), words_of(text).alias("size"),
-                       *carried)
-    mark = F.md5(F.concat_ws(":", F.lit(str(seed)), F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))))
-    rows = materialize(rows.withColumn("mark", mark), "sized")
+                       mark.alias("mark"), *carried)
+    rows = rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("copies"))
+    rows = materialize(rows.withColumn("whole", F.col("size") * F.col("copies")), "sized")
     number = F.conv(F.substring("mark", 1, 8), 16, 10).cast("long")
-    sums = rows.groupBy("source").agg(F.count_if(F.col("size") > 0).alias("docs"), F.count(F.lit(1)).alias("rows"))
+    sums = rows.groupBy("source").agg(F.sum(F.when(F.col("size") > 0, F.col("copies")).otherwise(0)).alias("docs"),
+                                      F.sum("copies").alias("rows"), F.max("copies").alias("most"))
     sums = materialize(sums, "source-rows")
-    spread = max(1, -(-(sums.agg(F.sum("rows")).first()[0] or 0) // shard_docs))
+    known = sums.agg(F.sum("rows"), F.max("most")).first()
+    spread = max(1, -(-(known[0] or 0) // shard_docs))
     # a source of up to shard_docs documents has one shard, so there is at most one row here for so many documents
     large = F.broadcast(sums.where(F.col("docs") > shard_docs).select(
         F.col("source").alias("s"), F.ceil(F.col("docs") / shard_docs).cast("long").alias("shards")))
@@ -137,7 +144,7 @@ def plan_mix(docs: DataFrame, doc_id: str = "doc_id", source: str = "source", te
     # documents without words take none wherever they are; they are kept out of the shards of the others
     shard = F.when(F.col("size") > 0, number % F.coalesce("shards", F.lit(1).cast("long"))).otherwise(-1 - number % spread)
     line = line.withColumn("shard", shard).drop("s", "shards")
-    cells = line.groupBy("source", "shard").agg(F.sum("size").alias("cell"))
+    cells = line.groupBy("source", "shard").agg(F.sum("whole").alias("cell"))
     cells = materialize(cells, "cells")
     sources = source_targets(cells.groupBy("source").agg(F.sum("cell").alias("source_size")), **targets)
     room = cells.withColumn("most", F.call_function("div", 2 * F.col("cell"), F.lit(block).cast("long")))
@@ -165,7 +172,8 @@ def plan_mix(docs: DataFrame, doc_id: str = "doc_id", source: str = "source", te
     buckets = max(1, shard_docs // BUCKET_DOCS)
     line = line.withColumn("bucket", F.call_function("div", F.conv(F.substring("mark", 9, 8), 16, 10).cast("long") * buckets,
                                                      F.lit(1 << 32)))
-    placed = running_totals(line, ["source", "shard"], "bucket", ["mark", "size"], {"size": "at"})
+    placed = running_totals(line, ["source", "shard"], "bucket", ["mark", "size", *(["carried"] if carry else [])], {"whole": "at"})
+    placed = expanded(placed, "copies", "copy", known[1] or 0).withColumn("at", F.col("at") + F.col("copy") * F.col("size")).drop("copy")
     placed = placed.join(quotas, F.col("source").eqNullSafe(F.col("s")) & (F.col("shard") == F.col("h"))).drop("s", "h")
     at, size, cell = F.col("at"), F.col("size"), F.col("cell")
     first = _words_to(at + size, block) - _words_to(at, block)
@@ -181,15 +189,21 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", source: str = "source", text: s
     which nothing is taken are left out. ``n_chars``, if there, tells the new length. All other columns are as given.
     """
     row, pass_ = unused(docs, "_mix_row"), unused(docs, "_mix_pass")
-    # numbers come from stored rows, so they stay the same however often these are read
-    numbered = materialize(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
-    plan = plan_mix(numbered, doc_id, source, text, block, carry=row, **options)
+    keyed = docs.withColumn(row, row_key(docs, text))
+    plan = plan_mix(keyed, doc_id, source, text, block, carry=row, **options)
     state = ["blocks", "blocks1", "pick1", "pick2", "start1", "start2"]
     passes = F.array(F.struct(F.col("at"), F.col("taken1").alias("taken")),
                      F.struct((F.col("cell") + F.col("at")).alias("at"), F.col("taken2").alias("taken")))
-    parts = plan.select(F.col("carried").alias(row), F.explode(passes).alias("part"), "size", *state)
-    parts = parts.where("part.taken > 0").select(row, F.struct("part.at", "part.taken", "size", *state).alias(pass_))
-    mixed = numbered.join(parts, row)
+    parts = plan.select(F.col("carried").alias(row), F.explode(passes).alias("part"), "size", "copies", *state)
+    parts = parts.where("part.taken > 0").select(row, F.struct("part.at", "part.taken", "size", *state).alias(pass_), "copies")
+    parts = materialize(parts, "mix-parts")
+    repeated = parts.where("copies > 1").select(row).distinct()
+    parts = parts.drop("copies")
+    if repeated.isEmpty():
+        mixed = keyed.join(parts, row)
+    else:  # of equal rows one meets the parts of all
+        mixed = keyed.join(repeated, row, "left_anti").unionByName(
+            keyed.join(repeated, row, "left_semi").dropDuplicates([row])).join(parts, row)
     taken = {c: F.col(pass_)[c] for c in ("at", "taken", "size", *state)}
 
     def picked(word: Column, k: Column) -> Column:

@@ -26,8 +26,9 @@ def _start(k: int) -> str:
 
 #: seats straight from the definition: every quotient is a row, the highest are taken
 MIX = rf"""WITH sized AS (SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS size,
-        md5(concat_ws(':', '{SEED}', coalesce(doc_id::VARCHAR, 'null'))) AS mark FROM documents),
-    line AS (SELECT *, {_number('mark', 1)} % greatest(1, -((-(SELECT count(*) FROM sized)) // {SHARD_DOCS})) AS shard,
+        md5(concat_ws(':', '{SEED}', coalesce(doc_id::VARCHAR, 'null'), md5(coalesce(text, '')))) AS mark FROM documents),
+    line AS (SELECT *, CASE WHEN size > 0 THEN {_number('mark', 1)} % greatest(1, (count(*) FILTER (WHERE size > 0) OVER
+        (PARTITION BY source) + {SHARD_DOCS - 1}) // {SHARD_DOCS}) ELSE -1 END AS shard,
         ({_number('mark', 9)} * {SHARD_DOCS // BUCKET_DOCS}) // 4294967296 AS bucket FROM sized),
     cells AS (SELECT source, shard, sum(size)::BIGINT AS cell, (2 * sum(size)::BIGINT) // {BLOCK} AS most FROM line GROUP BY 1, 2),
     sums AS (SELECT source, sum(cell)::BIGINT AS source_size, sum(most)::BIGINT AS most FROM cells GROUP BY 1),
