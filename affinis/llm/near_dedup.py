@@ -11,12 +11,13 @@ ends as soon as its time exceeds the latest register of its text: long texts cos
 
 Candidates are texts that share a band of registers. Equal texts count once. First each bucket is compared with its
 best-connected member only, then what is still apart with a member drawn at random in each bucket; that settles groups of copies in
-linear work. Then every bucket that still holds several classes has all members of different classes compared, in blocks; pairs whose sizes or sketches (one byte a register) rule out the
-threshold go before verification. Every candidate is verified on the exact multisets. Texts of no candidate are kept out of that by a
-bitmap of fixed size; what it lets through by chance goes in the join.
-
-Seven registers a band make texts that only share a passage (similarity 0.2 to 0.4) rare candidates: a passage in n texts
-would else make up to n * n of them.
+linear work. Then buckets that still hold several classes have members of different classes compared. A bucket of up to ``CROWDED``
+members is paired as a whole. Members of larger ones mostly meet by a passage that many texts share, so they are paired only where they share one of
+their rare elements, at a place in both texts that leaves room for the overlap they need: every pair at the threshold does, and texts of one
+passage don't, whose rare elements are their own. Rare is what a table of ``2 ** COUNTER_BITS`` counters says; any order is right,
+a good one is fast. The commonest class at an element isn't paired with itself. Pairs whose sizes or sketches (one byte a register) rule
+out the threshold go before verification. Every candidate is verified on the exact multisets. Texts of no candidate are kept out
+of that by a bitmap of fixed size; what it lets through by chance goes in the join.
 """
 
 from __future__ import annotations
@@ -30,12 +31,14 @@ from pyspark.sql import functions as F
 
 from affinis.llm import words as W
 from affinis.llm.common import components, fingerprint, merged_components, text_of, unused
-from affinis.operators.staging import materialize, self_pairs
+from affinis.operators.staging import materialize, self_pairs, spread_join
 
 THRESHOLD = 0.8
 BANDS, ROWS = 56, 7
 SKETCH = 96
 FILTER_BITS = 25
+COUNTER_BITS = 20
+CROWDED = 8
 _U = np.uint64
 ELEMENT_BITS = 52
 
@@ -172,8 +175,7 @@ def near_duplicate_classes(docs: DataFrame, text: str = "text", threshold: float
     """``(fp, id, label)`` of every distinct text that has a near duplicate, and the verified links ``(a, b, similarity)`` of ids.
 
     ``fp`` is ``fingerprint(text)``, ``label`` the class; texts that are not listed are alone. Null and empty texts, and texts
-    without a word, are linked with nothing but equal texts. Links between classes of the first, linear pass and those of the
-    second are given, not all pairs inside a class.
+    without a word, are linked with nothing but equal texts. The links join each class; other pairs inside it aren't listed.
 
     A pair at similarity s is missed with probability (1 - s**rows)**bands, 2e-6 at 0.8 with the defaults.
     """
@@ -200,13 +202,16 @@ def near_duplicate_classes(docs: DataFrame, text: str = "text", threshold: float
     found = _verified(_star(ranked, light, registers, threshold), elements, threshold)
     links, labels = links.unionByName(found), merged_components(labels, found.select("a", "b"))
 
-    # all pairs of different classes that still share a bucket
-    rest = _mixed(mixed, labels).join(light, "id")
-    rest = materialize(rest.select("band", "id", "label", "weight", "sketch"), "mixed-buckets")
+    # pairs of different classes that still share a bucket
+    rest = _mixed(mixed, labels).join(light.select("id", "weight"), "id")
+    rest = materialize(rest.select("band", "id", "label", "weight"), "mixed-buckets")
+    sizes = rest.groupBy("band").agg(F.count(F.lit(1)).alias("_rows"))
     apart = (F.col("label_a") != F.col("label_b")) & _sizes_allow("weight_a", "weight_b", threshold)
-    pairs = self_pairs(rest, ["band"], "id", ("label", "weight", "sketch"), apart, block=2000)
-    pairs = _sketches_allow(pairs, registers, threshold).join(links, ["a", "b"], "left_anti")
-    found = _verified(pairs, elements, threshold)
+    small = materialize(rest.join(sizes.where(F.col("_rows") <= CROWDED).select("band"), "band"), "small-buckets")
+    pairs = self_pairs(small, ["band"], "id", ("label", "weight"), apart).select("id_a", "id_b")
+    crowded = rest.join(sizes.where(F.col("_rows") > CROWDED).select("band"), "band").select("id", "label").distinct()
+    pairs = pairs.unionByName(_rare_pairs(materialize(crowded, "crowded"), elements, threshold)).distinct()
+    found = _verified(_sketches_allow(_with_sketches(pairs, light), registers, threshold), elements, threshold)
     links, labels = links.unionByName(found), merged_components(labels, found.select("a", "b"))
     named = sigs.select("fp", F.col("id").alias("node"))
     classes = labels.join(named, "node").select("fp", F.col("node").alias("id"), "label")
@@ -231,9 +236,78 @@ def _star(ranked: DataFrame, light: DataFrame, registers: int, threshold: float)
         "band", F.col("best.rank.id").alias("centre"), F.col("best.label").alias("centre_label"))
     star = ranked.join(centre, "band").where("label <> centre_label").select(
         F.least("id", "centre").alias("id_a"), F.greatest("id", "centre").alias("id_b")).distinct()
+    return _sketches_allow(_with_sketches(star, light).where(_sizes_allow("weight_a", "weight_b", threshold)), registers, threshold)
+
+
+def _with_sketches(pairs: DataFrame, light: DataFrame) -> DataFrame:
     for side in "ab":
-        star = star.join(light.select(*[F.col(c).alias(f"{c}_{side}") for c in light.columns]), f"id_{side}")
-    return _sketches_allow(star.where(_sizes_allow("weight_a", "weight_b", threshold)), registers, threshold)
+        pairs = pairs.join(light.select(*[F.col(c).alias(f"{c}_{side}") for c in light.columns]), f"id_{side}")
+    return pairs
+
+
+def _slot(elements: np.ndarray) -> np.ndarray:
+    """Counter of each element."""
+    return (W.mix(elements.view(_U)) >> _U(64 - COUNTER_BITS)).astype(np.int64)
+
+
+def _counters(own: DataFrame) -> np.ndarray:
+    """How often the elements of each counter occur: ``2 ** COUNTER_BITS`` numbers, however many elements there are."""
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(1 << COUNTER_BITS, np.int64)
+        for batch in batches:
+            total += np.bincount(_slot(np.asarray(batch.column("elements").flatten())), minlength=1 << COUNTER_BITS)
+        used = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])], names=["slot", "n"])
+
+    rows = own.select("elements").mapInArrow(count, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).toPandas()
+    out = np.zeros(1 << COUNTER_BITS, np.int64)
+    out[rows["slot"].to_numpy(np.int64)] = rows["n"].to_numpy(np.int64)
+    return out
+
+
+def _prefix_maker(counters, threshold: float):
+    """The rarest elements of every text, enough that two similar texts share one; ``reach`` counts from an element to the common end."""
+    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column("elements")
+            values, ends = np.asarray(lists.flatten()), np.asarray(lists.offsets) - lists.offsets[0].as_py()
+            sizes = np.diff(ends)
+            owner = np.repeat(np.arange(len(sizes)), sizes)
+            order = np.lexsort((values, counters.value[_slot(values)], owner))
+            reach = ends[1:][owner] - np.arange(len(values))
+            kept = reach >= threshold * sizes[owner] - 1e-6
+            at = pa.array(owner[kept])
+            yield pa.RecordBatch.from_arrays([pa.array(values[order][kept]), batch.column("id").take(at), batch.column("label").take(at),
+                                              pa.array(sizes[owner][kept].astype(np.int64)), pa.array(reach[kept].astype(np.int64))],
+                                             names=["element", "id", "label", "n", "reach"])
+    return make
+
+
+def _rare_pairs(crowded: DataFrame, elements: DataFrame, threshold: float, block: int = 2000) -> DataFrame:
+    """Pairs ``(id_a, id_b)`` of different classes among ``crowded (id, label)`` that share a rare element with room for their overlap.
+
+    At the rarest element that two texts share, ``reach`` bounds their overlap, which has to be t / (1 + t) of both sizes together.
+    """
+    if crowded.isEmpty():
+        return crowded.select(F.col("id").alias("id_a"), F.col("id").alias("id_b"))
+    own = materialize(elements.join(crowded, "id"), "crowded-elements")
+    counters = own.sparkSession.sparkContext.broadcast(_counters(own))
+    prefix = own.select("id", "label", "elements").mapInArrow(
+        _prefix_maker(counters, threshold), "element long, id long, label long, n long, reach long")
+    prefix = materialize(prefix, "rare-elements")
+    per_class = prefix.groupBy("element", "label").agg(F.count(F.lit(1)).alias("rows"))
+    keys = per_class.groupBy("element").agg(F.max(F.struct("rows", "label")).alias("most"), F.count(F.lit(1)).alias("classes"))
+    keys = materialize(keys.where("classes > 1").select("element", F.col("most.label").alias("major")), "shared-elements")
+    rows = materialize(prefix.join(keys, "element"), "shared-rows")
+    right = rows.select("element", *[F.col(c).alias(f"{c}_b") for c in ("id", "label", "n", "reach", "major")])
+    t = F.lit(threshold)
+    room = F.least("reach_a", "reach_b") * (1 + t) >= t * (F.col("n_a") + F.col("n_b")) - 1e-6
+    once = (F.col("label_b") == F.col("major_b")) | (F.col("id_a") < F.col("id_b"))
+    condition = (F.col("label_a") != F.col("label_b")) & once & _sizes_allow("n_a", "n_b", threshold) & room
+    minor = materialize(rows.where("label <> major"), "minor-rows")
+    left = minor.select("element", *[F.col(c).alias(f"{c}_a") for c in ("id", "label", "n", "reach")])
+    found = spread_join(left, right, ["element"], condition, block)
+    return found.select(F.least("id_a", "id_b").alias("id_a"), F.greatest("id_a", "id_b").alias("id_b"))
 
 
 def _sketches_allow(pairs: DataFrame, registers: int, threshold: float) -> DataFrame:
@@ -266,21 +340,17 @@ def _verified(pairs: DataFrame, elements: DataFrame, threshold: float) -> DataFr
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """``(doc_id, class_id, class_rows, links)`` for every row of ``docs``.
+    """``(doc_id, class_id, class_rows)`` for every row of ``docs``.
 
     ``class_id`` is the least ``doc_id`` of the class (null ids are passed over while there is another), ``class_rows`` the number of
-    rows in it and ``links`` the number of verified links that the row's text has. Rows of equal text are one class; null and
-    empty texts are one class. A repeated row is returned as often as it is given; an empty table gives none.
+    rows in it. Rows of equal text are one class; null and empty texts are one class. A repeated row is returned as often as it is given; an
+    empty table gives none.
     """
-    classes, links = near_duplicate_classes(docs, text, **options)
-    ends = links.select(F.col("a").alias("label")).unionByName(links.select(F.col("b").alias("label")))
-    degrees = classes.select("fp", "id").join(ends.groupBy(F.col("label").alias("id")).agg(
-        F.count(F.lit(1)).alias("links")), "id").select("fp", "links")
-    rows = docs.select(F.col(doc_id).alias("doc_id"), fingerprint(text).alias("fp")).join(
-        classes.select("fp", "label"), "fp", "left").join(degrees, "fp", "left")
-    rows = materialize(rows.select("doc_id", _class_key().alias("class"), F.coalesce("links", F.lit(0)).alias("links")), "rows")
+    classes, _ = near_duplicate_classes(docs, text, **options)
+    rows = docs.select(F.col(doc_id).alias("doc_id"), fingerprint(text).alias("fp")).join(classes.select("fp", "label"), "fp", "left")
+    rows = materialize(rows.select("doc_id", _class_key().alias("class")), "rows")
     groups = rows.groupBy("class").agg(F.min("doc_id").alias("class_id"), F.count(F.lit(1)).alias("class_rows"))
-    return rows.join(groups, "class").select("doc_id", "class_id", "class_rows", F.col("links").cast("long").alias("links"))
+    return rows.join(groups, "class").select("doc_id", "class_id", "class_rows")
 
 
 def _class_key():

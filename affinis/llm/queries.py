@@ -63,7 +63,7 @@ def op5_resharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Class, class size and links of every document."""
+    """Class and class size of every document."""
     return near_duplicates(_table(spark, sf_dir, "documents"))
 
 
