@@ -40,17 +40,33 @@ def term_bound(mode: str, largest_rating: int) -> str:
     return {"common": f"{4 * m * m}D * pow({n}, 3)", "default_voting": f"{12 * m * m}D * pow({n}, 5)"}[mode]
 
 
-def exact_terms(mode: str, largest_rating: int) -> dict[str, str]:
+BIGINT_BOUND, DECIMAL_BOUND = 9e18, 9e37
+
+
+def fits_in_bigint(mode: str, largest_rating: int, most_ratings: int | None = None) -> str | bool:
+    """Whether all Pearson terms of items of up to ``most_ratings`` ratings fit; without it, SQL that tells it of a row."""
+    if most_ratings is None:
+        return f"{term_bound(mode, largest_rating)} < {BIGINT_BOUND}D"
+    n, m = float(most_ratings), float(max(largest_rating, 1))
+    return {"common": 4 * m * m * n ** 3, "default_voting": 12 * m * m * n ** 5}[mode] < BIGINT_BOUND
+
+
+def exact_terms(mode: str, largest_rating: int, size: str | None = None) -> dict[str, str]:
     """SQL of the three Pearson terms of a row, each in the cheapest type that holds them.
 
     bigint, then 38-digit decimals; beyond these, for items of hundreds of millions of ratings with default voting,
-    the factors are still exact and only their products are doubles.
+    the factors are still exact and only their products are doubles. ``size="small"`` is for rows that are known to fit in
+    bigints, ``"large"`` for others; the code then holds no type that isn't needed.
     """
     small, middle = (TERMS[mode](kind) for kind in ("bigint", EXACT))
+    if size == "small":
+        return small
     bound = term_bound(mode, largest_rating)
     large = default_voting_terms(EXACT, "double") if mode == "default_voting" else middle
-    return {x: f"CASE WHEN {bound} < 9e18D THEN {small[x]} WHEN {bound} < 9e37D THEN {middle[x]} ELSE {large[x]} END"
-            for x in small}
+    if large != middle:
+        middle = {x: f"CASE WHEN {bound} < {DECIMAL_BOUND}D THEN {middle[x]} ELSE {large[x]} END" for x in middle}
+    return middle if size == "large" else {
+        x: f"CASE WHEN {bound} < {BIGINT_BOUND}D THEN {small[x]} ELSE {middle[x]} END" for x in small}
 
 
 def pearson_terms(kind: str = EXACT) -> dict[str, str]:

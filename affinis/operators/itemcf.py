@@ -2,15 +2,24 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+import logging
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from affinis.functions.similarity import TERMS, amplify, exact_terms, pearson_quotient, ratio_of_averages
+from affinis.functions.similarity import TERMS, amplify, exact_terms, fits_in_bigint, pearson_quotient, ratio_of_averages
+from affinis.operators.pairfilter import PairFilter, filter_of
 from affinis.operators.staging import BLOCK, hot_keys, materialize, self_pairs, spread_join
 from affinis.operators.stats import RatingColumns, item_totals, pair_ratings, user_totals
 
-# Profiles above this size are not paired with themselves; only the pairs that are asked for are looked up.
+log = logging.getLogger(__name__)
+
+# Profiles above this size are cut into blocks where they are paired with themselves.
 HEAVY_PROFILE = 2_000
+# What a looked-up row costs, in rows made by pairing: it travels to the other item's raters, a paired one meets a filter where it is.
+LOOKUP_COST = 4.0
+# A filter of the wanted pairs is made where pairing makes this many times as many rows.
+FILTER_GAIN = 2.0
 COLD_CELLS = ("both_known", "already_rated", "cold_user", "cold_item", "both_cold")
 ITEM_COLUMNS = ("total", "rows", "all_sum", "all_squares", "raters")
 
@@ -122,53 +131,91 @@ SUMS = ("sum_a", "sum_b", "squares_a", "squares_b", "products")
 
 
 def co_rating_sums(rated: DataFrame, wanted: DataFrame | None, heavy_profile: int = HEAVY_PROFILE,
-                   block: int = BLOCK, focus: DataFrame | None = None) -> DataFrame:
+                   block: int = BLOCK, focus: DataFrame | None = None, lookup_cost: float = LOOKUP_COST) -> DataFrame:
     """``(a, b, n_common, sum_a, sum_b, squares_a, squares_b, products)`` over common users, ``a < b``.
 
-    Only the co-rated rows of ``wanted`` pairs (a, b), a stored table, enter the sums; without it, all do. A profile of p
-    items makes p * (p - 1) / 2 rows. Up to ``heavy_profile`` that is done by a self-join on the user. For larger
-    profiles it is done too, cut into blocks, unless looking up the wanted pairs at the heavy raters of their first item
-    makes fewer rows; both numbers are measured. ``focus`` (item) leaves out pairs of which neither item is listed.
+    Only the co-rated rows of ``wanted`` pairs (a, b), a stored table, enter the sums; without it, all do. There are two ways to them.
+    Pairing: a profile of p items makes p * (p - 1) / 2 rows, by a self-join on the user; profiles above ``heavy_profile`` are cut into
+    blocks. Looking up: each wanted pair goes to the raters of its first item, and those are looked up among the raters of the
+    second. Profiles are classed by size (powers of two); both numbers of rows are measured for every class, and each takes the way that makes fewer,
+    a looked-up row counting ``lookup_cost`` times. ``focus`` (item) leaves out pairs of which neither item is listed.
     """
-    return _sum_pairs(co_rated_rows(rated, wanted, heavy_profile, block, focus))
+    return _sum_pairs(co_rated_rows(rated, wanted, heavy_profile, block, focus, lookup_cost))
 
 
 def co_rated_rows(rated: DataFrame, wanted: DataFrame | None, heavy_profile: int = HEAVY_PROFILE,
-                  block: int = BLOCK, focus: DataFrame | None = None) -> DataFrame:
-    """The rows ``(a, b, rating_a, rating_b)`` that ``co_rating_sums`` adds up."""
+                  block: int = BLOCK, focus: DataFrame | None = None, lookup_cost: float = LOOKUP_COST) -> DataFrame:
+    """The rows ``(a, b, rating_a, rating_b)`` that ``co_rating_sums`` adds up.
+
+    Paired rows meet a filter of the wanted pairs before they are shuffled to the exact test.
+    """
     light = rated.select("user", "item", "rating")
-    heavy = hot_keys(rated, ["user"], heavy_profile, "_blocks")
+    profiles = materialize(light.groupBy("user").agg(F.count(F.lit(1)).alias("_size")), "profiles")
+    looked_up, made = ([], 0.0) if wanted is None else _looked_up_classes(light, profiles, wanted, lookup_cost)
+    of_class = _size_class(F.col("_size"))
+    if looked_up:
+        chosen = materialize(light.join(profiles.where(of_class.isin(looked_up)).select("user"), "user", "left_semi"), "looked-up")
+        profiles = profiles.where(~of_class.isin(looked_up))
+        light = light.join(profiles.select("user"), "user", "left_semi")
+    heavy = hot_keys(light, ["user"], heavy_profile, "_blocks", profiles.withColumnRenamed("_size", "_rows"))
     if heavy is None:
-        return _of_wanted(_profile_pairs(light, focus), wanted)
-    busy = materialize(light.join(heavy.select("user"), "user", "left_semi"), "heavy-profiles")
-    few = light.join(heavy, "user", "left_anti")
-    asked = None if wanted is None else _looked_up(busy, wanted)
-    if asked is None:
-        co_rated = self_pairs(busy, ["user"], "item", ("rating",), block=block)
-        co_rated = co_rated.select(F.col("item_a").alias("a"), F.col("item_b").alias("b"), "rating_a", "rating_b")
-        return _of_wanted(_profile_pairs(few, focus).unionByName(co_rated), wanted)
-    first = busy.select(F.col("item").alias("a"), "user", F.col("rating").alias("rating_a"))
-    second = busy.select(F.col("item").alias("b"), "user", F.col("rating").alias("rating_b"))
-    co_rated = spread_join(asked, first, ["a"], block=block)
-    co_rated = co_rated.join(second, ["b", "user"]).select("a", "b", "rating_a", "rating_b")
-    return _of_wanted(_profile_pairs(few, focus), wanted).unionByName(co_rated)
-
-
-def _looked_up(busy: DataFrame, wanted: DataFrame) -> DataFrame | None:
-    """The wanted pairs with both items in heavy profiles, stored; None if pairing the profiles makes fewer rows."""
-    raters = busy.groupBy("item").agg(F.count(F.lit(1)).alias("raters"))
-    asked = wanted.join(raters.withColumnRenamed("item", "a"), "a").join(
-        raters.select(F.col("item").alias("b")), "b", "left_semi").select("a", "b", "raters")
-    asked = materialize(asked, "asked-heavy")
-    lookups = asked.agg(F.sum("raters")).first()[0] or 0
-    sizes = busy.groupBy("user").agg(F.count(F.lit(1)).cast("double").alias("p"))
-    paired = sizes.agg(F.sum(F.col("p") * (F.col("p") - 1) / 2)).first()[0] or 0
-    return asked.select("a", "b") if lookups < paired else None
-
-
-def _of_wanted(co_rated: DataFrame, wanted: DataFrame | None) -> DataFrame:
-    """The co-rated rows of the wanted pairs, so the others never reach the sums."""
-    return co_rated if wanted is None else co_rated.join(wanted.select("a", "b"), ["a", "b"], "left_semi")
+        paired = _profile_pairs(light, focus)
+    else:
+        busy = materialize(light.join(heavy.select("user"), "user", "left_semi"), "heavy-profiles")
+        blocks = self_pairs(busy, ["user"], "item", ("rating",), block=block)
+        blocks = blocks.select(F.col("item_a").alias("a"), F.col("item_b").alias("b"), "rating_a", "rating_b")
+        paired = _profile_pairs(light.join(heavy, "user", "left_anti"), focus).unionByName(blocks)
+    if wanted is None:
+        return paired
+    asked = wanted.count()
+    paired = of_wanted(paired, wanted, filter_of(wanted, "a", "b", count=asked) if made >= FILTER_GAIN * asked else None)
+    return paired.unionByName(_looked_up(chosen, wanted, block)) if looked_up else paired
+
+
+def _size_class(size: Column) -> Column:
+    return F.floor(F.log2(size)).cast("int")
+
+
+def _looked_up_classes(light: DataFrame, profiles: DataFrame, wanted: DataFrame, lookup_cost: float) -> tuple[list[int], float]:
+    """Classes of profile sizes for which looking up the wanted pairs makes fewer rows than pairing, and the rows that pairing the others makes.
+
+    At most 63 rows are collected.
+    """
+    size = F.col("_size").cast("double")
+    paired = profiles.groupBy(_size_class(F.col("_size")).alias("class")).agg(F.sum(size * (size - 1) / 2).alias("rows")).collect()
+    raters = light.join(profiles, "user").groupBy("item", _size_class(F.col("_size")).alias("class")).agg(F.count(F.lit(1)).alias("raters"))
+    asked = wanted.groupBy(F.col("a").alias("item")).agg(F.count(F.lit(1)).alias("pairs"))
+    lookups = raters.join(asked, "item").groupBy("class").agg(F.sum(F.col("raters").cast("double") * F.col("pairs")).alias("rows"))
+    lookups = {r["class"]: r["rows"] for r in lookups.collect()}
+    found, made = [], 0.0
+    for r in sorted(paired, key=lambda r: r["class"]):
+        looked_up = lookups.get(r["class"], 0.0)
+        fewer = lookup_cost * looked_up < r["rows"]
+        log.info("profiles of %d to %d items: %.0f rows by pairing, %.0f by looking up: %s", 1 << r["class"], (2 << r["class"]) - 1, r["rows"],
+                 looked_up, "looked up" if fewer else "paired")
+        if fewer:
+            found.append(r["class"])
+        else:
+            made += r["rows"]
+    return found, made
+
+
+def _looked_up(chosen: DataFrame, wanted: DataFrame, block: int) -> DataFrame:
+    """The co-rated rows of the wanted pairs in the stored profiles ``chosen``, by looking up."""
+    items = chosen.select("item").distinct()
+    asked = wanted.select("a", "b").join(items.withColumnRenamed("item", "a"), "a", "left_semi").join(
+        items.withColumnRenamed("item", "b"), "b", "left_semi")
+    first = chosen.select(F.col("item").alias("a"), "user", F.col("rating").alias("rating_a"))
+    second = chosen.select(F.col("item").alias("b"), "user", F.col("rating").alias("rating_b"))
+    co_rated = spread_join(materialize(asked, "asked-lookups"), first, ["a"], block=block)
+    return co_rated.join(second, ["b", "user"]).select("a", "b", "rating_a", "rating_b")
+
+
+def of_wanted(co_rated: DataFrame, wanted: DataFrame, pair_filter: PairFilter | None) -> DataFrame:
+    """The co-rated rows of the wanted pairs: a filter drops most others where they are made, an exact join the rest."""
+    if pair_filter is not None:
+        co_rated = pair_filter.keep(co_rated, "a", "b")
+    return co_rated.join(wanted.select("a", "b"), ["a", "b"], "left_semi")
 
 
 def _profile_pairs(light: DataFrame, focus: DataFrame | None) -> DataFrame:
@@ -202,14 +249,22 @@ def _with_similarity(pairs: DataFrame, items: DataFrame, largest: int, mode: str
     """Add ``similarity`` to pairs (a, b) that hold their common sums, if any; ``items`` has the totals of each item.
 
     The exact terms are columns of their own, so that each is computed once and the generated code stays small enough
-    to be compiled.
+    to be compiled. If all terms fit in bigints, as the largest number of ratings of an item tells, the code holds that type
+    only; else pairs that fit and pairs that don't are parted first.
     """
     if mode not in TERMS:
         raise ValueError(f"unknown similarity mode: {mode}")
     for side in ("a", "b"):
         totals = items.select(F.col("item").alias(side), *[F.col(x).alias(f"{x}_{side}") for x in ITEM_COLUMNS])
         pairs = pairs.join(totals, side)
-    pairs = pairs.withColumns({f"_{name}": F.expr(sql) for name, sql in exact_terms(mode, largest).items()})
+    most = items.agg(F.max("rows")).first()[0] or 0
+    if fits_in_bigint(mode, largest, most):
+        pairs = _with_terms(pairs, mode, largest, "small")
+    else:
+        pairs = materialize(pairs, "pair-sums")
+        small = F.expr(fits_in_bigint(mode, largest))
+        pairs = _with_terms(pairs.where(small), mode, largest, "small").unionByName(
+            _with_terms(pairs.where(~small), mode, largest, "large"))
     pearson = pearson_quotient(F.col("_top"), F.col("_norm_a"), F.col("_norm_b"))
     if min_common is not None:
         pearson = pearson * F.when(F.col("n_common") < min_common, F.lit(0.5)).otherwise(F.lit(1.0))
@@ -217,6 +272,10 @@ def _with_similarity(pairs: DataFrame, items: DataFrame, largest: int, mode: str
     return pairs.withColumn("similarity", F.when(F.col("n_common").isNull(), averages).otherwise(pearson))
 
 
+def _with_terms(pairs: DataFrame, mode: str, largest: int, size: str) -> DataFrame:
+    return pairs.withColumns({f"_{name}": F.expr(sql) for name, sql in exact_terms(mode, largest, size).items()})
+
+
 def _targets(rated: DataFrame, pairs: DataFrame, c: RatingColumns) -> DataFrame:
     """Distinct pairs with their number of copies, the totals of both sides, the known rating, and the cell."""
     asked = pairs.groupBy(F.col(c.user).alias("user"), F.col(c.item).alias("item")).agg(

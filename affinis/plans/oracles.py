@@ -7,8 +7,8 @@ import random
 from affinis.operators.features import (COMPLIMENT_FEATURES, HYBRID_FEATURES, ITEM_FEATURES, MISSING, MODEL_FEATURES,
                                         USER_FEATURES)
 from affinis.operators.jaccard import MERSENNE_31
-from affinis.plans.queries import UNIVERSAL
-from affinis.plans.tables import COLD_ITEMS, COLD_USERS, TEST_ORDERS
+from affinis.plans.queries import BOOSTED, STUMPS, UNIVERSAL
+from affinis.plans.tables import BROKEN, COLD_ITEMS, COLD_USERS, TEST_ORDERS
 
 
 def _fraction(seed: str, *columns: str) -> str:
@@ -44,8 +44,8 @@ CTES = {
     "items": """SELECT item_id,
         ((4 * sum(stars)::BIGINT + count(*)) // (2 * count(*))) / 2.0::DOUBLE AS business_avg_stars, count(*) AS business_rev_count FROM ratings
         WHERE item_id IN (SELECT p_partkey FROM part WHERE p_size > 1) GROUP BY 1""",
-    "tips": """SELECT user_id, item_id, count(*) AS tips, count(*) FILTER (WHERE stars >= 4) AS likes FROM ratings
-        WHERE ok % 3 = 0 GROUP BY 1, 2""",
+    "tips": """SELECT user_id, item_id, count(*) AS tips, count(*) FILTER (WHERE stars >= 4) AS likes FROM train
+        GROUP BY 1, 2""",
     "stats": """SELECT user_id, avg(pow(stars - average_stars, 2)) AS user_variance, max(stars) AS user_max,
         min(stars) AS user_min, count(*) AS rating_rows, var_samp(stars) AS sample
         FROM train JOIN users USING (user_id) WHERE item_id IN (SELECT item_id FROM items) GROUP BY 1""",
@@ -193,6 +193,28 @@ def _stump(rows: str, test: str) -> dict[str, str]:
         "scored": f"SELECT user_id, item_id, CASE WHEN x <= v THEN low ELSE high END AS score FROM ({test}), stump"}
 
 
+def _boosted(rows: str, test: str, features: tuple[str, ...], rounds: int, step: float) -> dict[str, str]:
+    """Rounds of stumps: each is the best split of any feature for twice the residual that is left, ``step`` times after the first."""
+    tables = {"r0": f"SELECT {', '.join(features)}, y::DOUBLE AS y, 0::DOUBLE AS f FROM ({rows})",
+              "t0": f"SELECT *, 0::DOUBLE AS f FROM ({test})"}
+    for k in range(rounds):
+        goal = "y" if k == 0 else "2 * (y - f)"
+        tables[f"values{k}"] = " UNION ALL ".join(
+            f"SELECT '{x}' AS feature, {x} AS x, sum({goal}) AS s, count(*) AS n FROM r{k} GROUP BY 2" for x in features)
+        # sums and counts of the values up to each one, and of the others
+        tables[f"cuts{k}"] = f"""SELECT feature, x AS v, sum(s) OVER below AS sl, sum(n) OVER below AS nl,
+            sum(s) OVER whole - sum(s) OVER below AS sr, sum(n) OVER whole - sum(n) OVER below AS nr FROM values{k}
+            WINDOW below AS (PARTITION BY feature ORDER BY x), whole AS (PARTITION BY feature)"""
+        tables[f"best{k}"] = f"""SELECT feature, v, sl / nl AS low, sr / nr AS high FROM cuts{k} WHERE nr > 0
+            ORDER BY sl * sl / nl + sr * sr / nr DESC LIMIT 1"""
+        side = "CASE feature " + " ".join(f"WHEN '{x}' THEN {x}" for x in features) + " END"
+        weight = 1.0 if k == 0 else step
+        for name in ("r", "t"):
+            tables[f"{name}{k + 1}"] = f"""SELECT {name}{k}.* REPLACE (f + {weight}::DOUBLE * CASE WHEN {side} <= v THEN low ELSE high END AS f)
+                FROM {name}{k}, best{k}"""
+    return tables
+
+
 def _universal() -> str:
     """Signatures with the hash family that the seed draws."""
     draw = random.Random(UNIVERSAL)
@@ -229,6 +251,9 @@ ORACLES = {
         AND b IN (SELECT rep FROM families)""", *SIGNED, "bands", "candidates", "families"),
     "similar_sets_exact": _sql(_OF_SETS.format("exact"), *EXACT, "families"),
     "similar_sets_lsh": _sql(_OF_SETS.format("lsh"), *LSH, "families"),
+    "similar_items_lookup": _sql("""SELECT item, other, round(similarity, 6) AS similarity FROM
+        (SELECT a AS item, b AS other, similarity FROM exact UNION ALL SELECT b, a, similarity FROM exact)
+        WHERE item IN (SELECT doc_id FROM labels)""", *EXACT),
     "set_families": _sql("SELECT rep, item FROM families", *BASKETS, "families"),
     "similar_items_lsh": _sql("SELECT a, b, round(similarity, 6) AS similarity FROM lsh", *LSH),
     "similar_items_exact": _sql("SELECT a, b, round(similarity, 6) AS similarity FROM exact", *EXACT),
@@ -300,6 +325,21 @@ ORACLES = {
                                  JOIN items USING (item_id)""",
                              f"""SELECT user_id, item_id, coalesce(business_avg_stars, {MISSING}) AS x FROM test
                                  LEFT JOIN items USING (item_id)""")),
+    "model_boosted_stumps": _sql(f"SELECT user_id, item_id, round(f, 6) AS prediction FROM t{STUMPS['trees']}", *PROFILES, "stats",
+                                 extra=_boosted("""SELECT user_min, business_avg_stars, train.stars AS y FROM train
+                                     JOIN users USING (user_id) JOIN items USING (item_id) JOIN stats USING (user_id)""",
+                                                f"""SELECT user_id, item_id, coalesce(user_min, {MISSING}) AS user_min,
+                                     coalesce(business_avg_stars, {MISSING}) AS business_avg_stars FROM test
+                                     LEFT JOIN stats USING (user_id) LEFT JOIN items USING (item_id)""",
+                                                BOOSTED, STUMPS["trees"], STUMPS["step"])),
+    "ratings_quarantine": _sql(f"""SELECT CASE WHEN whole THEN user_id::VARCHAR END AS user_id,
+        CASE WHEN whole THEN item_id::VARCHAR END AS business_id, CASE WHEN whole THEN stars::DOUBLE END AS stars,
+        CASE kind WHEN 1 THEN concat(user_id, ',', item_id) WHEN 2 THEN concat(user_id, ',', item_id, ',star', stars)
+            WHEN 3 THEN concat(user_id, ',', item_id, ',', stars, ',x') END AS line,
+        CASE kind WHEN 1 THEN '3 fields expected, 2 found' WHEN 2 THEN 'stars is no double'
+            WHEN 3 THEN '3 fields expected, 4 found' END AS reason
+        FROM (SELECT *, ok % {BROKEN} AS kind, ok % {BROKEN} NOT IN (1, 2, 3) AS whole FROM train)""", *RATINGS, "train"),
+    "item_profiles_json": _sql("SELECT item_id::VARCHAR AS business_id, business_avg_stars AS stars, business_rev_count AS review_count FROM items", "ratings", "items"),
     "ratings_csv": _sql("""SELECT user_id::VARCHAR AS user_id, item_id::VARCHAR AS business_id, stars::DOUBLE AS stars
         FROM train""", *RATINGS, "train"),
     "profiles_json": _sql("""SELECT user_id::VARCHAR AS user_id, average_stars, review_count, useful, fans, funny, cool

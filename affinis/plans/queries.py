@@ -13,12 +13,16 @@ import affinis as af
 from affinis.operators.features import COMPLIMENT_FEATURES, USER_FEATURES
 from affinis.operators.staging import materialize, staging_root
 from affinis.plans import tables as t
+from affinis.sources.ratings import RATINGS
 
 C = t.COLUMNS
 Query = Callable[[SparkSession, str], DataFrame]
 TREES = {"trees": 20, "depth": 3}
 #: one split of one feature, which SQL can find too
 STUMP = {"trees": 1, "depth": 1, "step": 1.0}
+#: several rounds of them over two features
+STUMPS = {"trees": 5, "depth": 1, "step": 0.3}
+BOOSTED = ("user_min", "business_avg_stars")
 UNIVERSAL = 12
 
 
@@ -96,6 +100,12 @@ def similar_sets_exact(spark, folder):
     return _set_pairs(*af.similar_sets_exact(t.shingles(spark, folder), "item", "member"))
 
 
+def similar_items_lookup(spark, folder):
+    """Similar items of the labelled documents, out of the folded relation."""
+    relation = af.similar_items(t.shingles(spark, folder), "item", "member")
+    return rounded(relation.of(t.table(spark, folder, "labels").select("doc_id")), "similarity")
+
+
 def set_families(spark, folder):
     return af.set_families(t.shingles(spark, folder), "item", "member")
 
@@ -223,6 +233,13 @@ def model_stump(spark, folder):
     return rounded(scored, "prediction")
 
 
+def model_boosted_stumps(spark, folder):
+    inputs = _Inputs(spark, folder, t.users)
+    model = af.fit_model(inputs.model_features(inputs.train.select(*C.pair, "stars"), "inner"), BOOSTED, C, **STUMPS)
+    scored = af.predict_model(model, inputs.model_features(inputs.test.select(*C.pair), "left"), BOOSTED, C)
+    return rounded(scored, "prediction")
+
+
 def hybrid_stump(spark, folder):
     inputs, names = _Inputs(spark, folder, t.hybrid_users), ("business_avg_stars",)
     train, test = inputs.train, inputs.test
@@ -242,6 +259,21 @@ def ratings_csv(spark, folder):
     return af.read_ratings(spark, path)
 
 
+def ratings_quarantine(spark, folder):
+    path = _new_path(spark, "rating-lines")
+    t.rating_lines(spark, folder).write.text(path)
+    good, bad = af.read_checked(spark, path, RATINGS, header=False)
+    return good.withColumns({"line": F.lit(None).cast("string"), "reason": F.lit(None).cast("string")}).unionByName(
+        bad.drop("file"), allowMissingColumns=True)
+
+
+def item_profiles_json(spark, folder):
+    path = _new_path(spark, "item-profiles")
+    items = t.items(spark, folder).withColumn("business_id", F.col("item_id").cast("string"))
+    items.select("business_id", "stars", "review_count", F.lit("x").alias("unused")).write.json(path)
+    return af.read_item_profiles(spark, path)
+
+
 def profiles_json(spark, folder):
     path = _new_path(spark, "profiles")
     t.hybrid_users(spark, folder).withColumn("user_id", F.col("user_id").cast("string")).write.json(path)
@@ -320,6 +352,7 @@ QUERIES: dict[str, Query] = {
     "similar_items_exact": similar_items_exact,
     "similar_sets_lsh": similar_sets_lsh,
     "similar_sets_exact": similar_sets_exact,
+    "similar_items_lookup": similar_items_lookup,
     "set_families": set_families,
     "similar_items_by_raters": similar_items_by_raters,
     "lsh_precision_recall": lsh_precision_recall,
@@ -346,8 +379,11 @@ QUERIES: dict[str, Query] = {
     "features_with_extra": features_with_extra,
     "features_numeric_text": features_numeric_text,
     "model_stump": model_stump,
+    "model_boosted_stumps": model_boosted_stumps,
     "hybrid_stump": hybrid_stump,
     "ratings_csv": ratings_csv,
+    "ratings_quarantine": ratings_quarantine,
+    "item_profiles_json": item_profiles_json,
     "profiles_json": profiles_json,
     "pairs_sink": pairs_sink,
     "predictions_sink": predictions_sink,

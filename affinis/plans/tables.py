@@ -79,8 +79,8 @@ def _user_profiles(lines: DataFrame, spark: SparkSession, folder: str, counters:
 
 
 def tips(spark: SparkSession, folder: str) -> DataFrame:
-    """A profile keyed by user and item: number of ratings, and of those of four stars or more."""
-    return ratings(spark, folder).where("ok % 3 = 0").groupBy("user_id", "item_id").agg(
+    """A profile keyed by user and item: number of training ratings, and of those of four stars or more."""
+    return train(spark, folder).groupBy("user_id", "item_id").agg(
         F.count(F.lit(1)).alias("tips"), F.count_if(F.col("stars") >= 4).alias("likes"))
 
 
@@ -92,6 +92,19 @@ def items(spark: SparkSession, folder: str) -> DataFrame:
         average.alias("stars"), F.count(F.lit(1)).alias("review_count"))
 
 
+#: what is wrong with a line, by the remainder of its order; others are whole
+BROKEN = 11
+
+
+def rating_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """The training ratings as lines of CSV, some of them broken: without stars, with a word for stars, with a field too many."""
+    user, item, stars = (F.col(c).cast("string") for c in ("user_id", "item_id", "stars"))
+    kind = F.col("ok") % BROKEN
+    fields = (F.when(kind == 1, F.array(user, item)).when(kind == 2, F.array(user, item, F.concat(F.lit("star"), stars)))
+              .when(kind == 3, F.array(user, item, stars, F.lit("x"))).otherwise(F.array(user, item, stars)))
+    return train(spark, folder).select(F.array_join(fields, ",").alias("line"))
+
+
 def shingles(spark: SparkSession, folder: str, width: int = 3) -> DataFrame:
     """Baskets of documents: every run of three words of the whole text, once per document.
 
