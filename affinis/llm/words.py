@@ -13,7 +13,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 SHINGLE = 5
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 20
+PIECE_BYTES = 1 << 20
 _U = np.uint64
 _BASE = _U(0x9E3779B97F4A7C15)
 _BASE_INVERSE = _U(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
@@ -76,39 +77,59 @@ def spaced(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return _SPACED[raw], offsets
 
 
-def _powers(n: int) -> np.ndarray:
-    if len(_POWERS.get(0, ())) < n:
-        steps = np.full(max(n, CHUNK_BYTES + 4096), _BASE)
+def _powers(kind: int, n: int) -> np.ndarray:
+    """The first ``n`` powers of the base (kind 0) or of its inverse (1); those of a piece are kept, longer rows aren't."""
+    if len(_POWERS.get(kind, ())) < n:
+        steps = np.full(max(n, PIECE_BYTES + 1), _BASE if kind == 0 else _BASE_INVERSE)
         steps[0] = 1
-        _POWERS[0] = np.cumprod(steps)
-    return _POWERS[0][:n]
+        found = np.cumprod(steps)
+        if n > PIECE_BYTES + 1:  # a single word longer than a piece
+            return found[:n]
+        _POWERS[kind] = found
+    return _POWERS[kind][:n]
+
+
+def _pieces(raw: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Ranges of about ``PIECE_BYTES`` that are cut at spaces; a longer word stays whole."""
+    start = 0
+    while len(raw) - start > PIECE_BYTES:
+        spaces = np.flatnonzero(raw[start: start + PIECE_BYTES] == 32)
+        if len(spaces):
+            end = start + int(spaces[-1]) + 1
+        else:
+            end = start + PIECE_BYTES
+            while end < len(raw) and raw[end] != 32:
+                step = raw[end: end + PIECE_BYTES]
+                spaces = np.flatnonzero(step == 32)
+                end += int(spaces[0]) if len(spaces) else len(step)
+        yield start, end
+        start = end
+    if len(raw) > start:
+        yield start, len(raw)
 
 
 def word_hashes(texts: pa.Array, stem: int = 0) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all words in order, and for each text the place of its first word (one more entry at the end).
 
-    With ``stem``, of the first so many bytes of each word.
+    With ``stem``, of the first so many bytes of each word. Beyond the words themselves, memory is that of one piece.
     """
     raw, offsets = spaced(texts)
     if not len(raw):
         return np.zeros(0, _U), np.zeros(len(texts) + 1, np.int64)
-    inside = raw != 32
-    edges = np.flatnonzero(np.diff(inside.view(np.int8), prepend=0, append=0))
-    begin, end = edges[0::2], edges[1::2]
-    if stem:
-        end = np.minimum(end, begin + stem)
-    sums = np.zeros(len(raw) + 1, _U)
-    np.cumsum(raw.astype(_U) * _powers(len(raw)), out=sums[1:])
-    shift = _inverse_powers(len(raw))[begin]
-    return mix((sums[end] - sums[begin]) * shift), np.searchsorted(begin, offsets)
-
-
-def _inverse_powers(n: int) -> np.ndarray:
-    if len(_POWERS.get(1, ())) < n:
-        steps = np.full(max(n, CHUNK_BYTES + 4096), _BASE_INVERSE)
-        steps[0] = 1
-        _POWERS[1] = np.cumprod(steps)
-    return _POWERS[1][:n]
+    hashes, begins = [], []
+    for start, stop in _pieces(raw):
+        piece = raw[start:stop]
+        inside = piece != 32
+        edges = np.flatnonzero(np.diff(inside.view(np.int8), prepend=0, append=0))
+        begin, end = edges[0::2], edges[1::2]
+        if stem:
+            end = np.minimum(end, begin + stem)
+        sums = np.zeros(len(piece) + 1, _U)
+        np.cumsum(piece.astype(_U) * _powers(0, len(piece)), out=sums[1:])
+        hashes.append(mix((sums[end] - sums[begin]) * _powers(1, len(piece))[begin]))
+        begins.append(begin + start)
+    begin = np.concatenate(begins)
+    return np.concatenate(hashes), np.searchsorted(begin, offsets)
 
 
 _STEPS = [_U(pow(0xD1342543DE82EF95, i + 1, 1 << 64)) for i in range(SHINGLE)]
