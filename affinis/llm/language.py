@@ -34,6 +34,7 @@ from affinis.operators.staging import materialize
 
 TRAIN_ROWS = 4000
 LABEL_ROWS = 50
+MOST_LABELS = 200
 GRAM_BITS = 15
 EVIDENCE = 100
 SMOOTH = 0.1
@@ -87,12 +88,16 @@ def label_bound(counts: list[int], limit: int) -> float:
 def train(rows: DataFrame, key: str = "doc_id", text: str = "text", label: str = "lang", limit: int = TRAIN_ROWS) -> LanguageModel:
     """Fit the text model on about ``limit`` rows that have a label: the same number of each label, and all rows of rarer ones.
 
-    Rows of a label are picked by a hash of key and text. Only label counts and counts of hashed trigrams by language come to the
+    A label counts by its primary subtag, and the ``MOST_LABELS`` commonest ones are languages; that bounds the model. Rows of a label are
+    picked by a hash of key and text. Only label counts and counts of hashed trigrams by language come to the
     driver. Without labelled rows the model knows no language.
     """
-    labelled = rows.select(F.col(key).alias("key"), text_of(text).alias("text"), F.lower(F.col(label).cast("string")).alias("label")).where(
-        "label is not null")
-    counts = {r.label: r.n for r in labelled.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}  # a row a language
+    labelled = rows.select(F.col(key).alias("key"), text_of(text).alias("text"), _tag(F.col(label)).alias("label")).where("label is not null")
+    counts = labelled.groupBy("label").agg(F.count(F.lit(1)).alias("n"))
+    ranked = counts.orderBy(F.desc("n"), "label").limit(MOST_LABELS + 1).collect()
+    counts = {r.label: r.n for r in ranked[:MOST_LABELS]}
+    if len(ranked) > MOST_LABELS:
+        labelled = labelled.where(F.col("label").isin(list(counts)))
     most = label_bound(list(counts.values()), limit)
     cuts = [(name, int(most / n * (1 << 40))) for name, n in counts.items() if n > most]
     sample = labelled
@@ -256,8 +261,46 @@ def keep_identified(docs: DataFrame, model: LanguageModel, text: str = "text", d
     return found.where("accepted").select(f"{top}.*")
 
 
-_HIDDEN = re.compile(r"<(script|style)\b.*?</\1\s*>|<!--.*?-->|<[^>]*>", re.DOTALL | re.IGNORECASE)
-_LANG = re.compile(r"<html\b[^>]*?\blang\s*=\s*[\"']?([A-Za-z-]+)", re.IGNORECASE)
+_OPEN = re.compile(r"<(?:(script|style)\b|(!--))?", re.IGNORECASE)
+#: what ends a script, a style sheet, a comment and any other tag
+_CLOSE = {"script": re.compile(r"</script\s*>", re.IGNORECASE), "style": re.compile(r"</style\s*>", re.IGNORECASE),
+          "!--": re.compile("-->"), "": re.compile(">")}
+_ROOT = re.compile(r"<html\b", re.IGNORECASE)
+_LANG = re.compile(r"\blang\s*=\s*[\"']?([A-Za-z-]+)", re.IGNORECASE)
+
+
+def visible_text(page: str) -> str:
+    """The page without scripts, style sheets, comments and tags, each a blank; what isn't closed is a tag, or text if that isn't, either.
+
+    One pass: what has no end behind one place has none behind a later one.
+    """
+    out, at, place, endless = [], 0, 0, set()
+    while found := _OPEN.search(page, place):
+        place = found.end()
+        for kind in dict.fromkeys(((found[1] or found[2] or "").lower(), "")):
+            if kind in endless:
+                continue
+            close = _CLOSE[kind].search(page, found.end() if kind else found.start() + 1)
+            if close:
+                out += [page[at: found.start()], " "]
+                at = place = close.end()
+                break
+            endless.add(kind)
+        if "" in endless and len(endless) == len(_CLOSE):
+            break
+    return html.unescape("".join([*out, page[at:]]))
+
+
+def declared_language(page: str) -> str | None:
+    """The ``lang`` of the first root tag that has one."""
+    place = 0
+    while found := _ROOT.search(page, place):
+        end = page.find(">", found.end())
+        end = len(page) if end < 0 else end
+        if lang := _LANG.search(page, found.end(), end):
+            return lang[1]
+        place = end
+    return None
 
 
 def page_records(pages: DataFrame, page_id: str = "page_id", url: str = "url", markup: str = "html") -> DataFrame:
@@ -267,9 +310,8 @@ def page_records(pages: DataFrame, page_id: str = "page_id", url: str = "url", m
             texts, tags = [], []
             for page in batch.column("html").to_pylist():
                 page = page or ""
-                found = _LANG.search(page)
-                tags.append(found[1] if found else None)
-                texts.append(html.unescape(_HIDDEN.sub(" ", page)))
+                tags.append(declared_language(page))
+                texts.append(visible_text(page))
             yield pa.RecordBatch.from_arrays([batch.column("page_id"), pa.array(texts, pa.string()), pa.array(tags, pa.string()),
                                               batch.column("host")], names=["page_id", "text", "declared", "host"])
 

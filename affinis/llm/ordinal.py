@@ -137,7 +137,7 @@ def train(docs: DataFrame, grades: DataFrame, doc_id: str = "doc_id", text: str
     """
     known = grades.where("doc_id is not null and grade is not null")
     part = min(1.0, limit / max(1, known.count()))
-    known = known.where(F.pmod(F.xxhash64(F.col("doc_id").cast("long"), F.lit(3)), F.lit(1 << 20)) < F.lit(int(part * (1 << 20))))
+    known = known.where(F.pmod(F.xxhash64("doc_id", F.lit(3)), F.lit(1 << 20)) < F.lit(int(part * (1 << 20))))
     known = known.groupBy("doc_id").agg(F.max("grade").cast("long").alias("grade"))
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

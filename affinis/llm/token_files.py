@@ -101,7 +101,10 @@ def write_token_files(docs: DataFrame, path: str, folder: str, doc_id: str = "do
 
     kind = docs.schema[doc_id].dataType.simpleString()
     rows = docs.select(F.col(doc_id).alias("doc_id"), text_of(text).alias("text"))
-    ordered = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", F.xxhash64("text"))
+    # the hash and a number spread the rows of one id, or without one, over many files
+    keys = ["doc_id", "_mark", "_number"]
+    rows = rows.withColumns({"_mark": F.xxhash64("text"), "_number": F.monotonically_increasing_id()})
+    ordered = rows.repartitionByRange(*keys).sortWithinPartitions(*keys).select("doc_id", "text")
     return materialize(ordered.mapInArrow(write, f"doc_id {kind}, file string, part int, first long, n_tokens long"),
                        "token-index")
 

@@ -22,8 +22,10 @@ from pyspark.sql import functions as F
 from affinis.llm import words as W
 from affinis.llm.common import text_of
 
-#: pieces kept per Python worker; beyond it the memory starts anew
-REMEMBERED = 800_000
+#: bytes that a Python worker keeps for pieces, about; beyond it the memory starts anew
+REMEMBERED_BYTES = 96 << 20
+#: what a remembered piece takes besides its characters and ids, and the longest one that is kept
+PIECE_COST, LONGEST = 200, 64
 BATCH_BYTES = 1 << 20
 OVER = 512
 
@@ -43,6 +45,7 @@ class PieceEncoder:
         self.id_type = id_type
         self.width = np.dtype(id_type).itemsize
         self.known: dict[str, bytes] = {}
+        self.held = 0
         self.specials: list[str] = []
         self.splits = False
         if path.endswith(".model"):
@@ -77,17 +80,18 @@ class PieceEncoder:
         if not self.splits:
             yield from self.whole(texts)
             return
-        if len(self.known) > REMEMBERED:
-            self.known = {}
+        if self.held > REMEMBERED_BYTES:
+            self.known, self.held = {}, 0
         odd: set[str] = set()
         split = [self.pieces_of(text, odd) for text in texts]
         missing = set().union(*split).difference(self.known)
-        alone = list(missing.intersection(odd))
-        self.known.update(zip(alone, self.whole(alone), strict=True))
-        self._learn(list(missing.difference(odd)))
-        get = self.known.__getitem__
+        # pieces that hardly come again are known for this batch only
+        alone = [piece for piece in missing if piece in odd or len(piece) > LONGEST]
+        once = dict(zip(alone, self.whole(alone), strict=True))
+        self._learn([piece for piece in missing if piece not in once])
+        get, known = once.get, self.known
         for pieces in split:
-            yield b"".join(map(get, pieces))
+            yield b"".join([known[piece] if piece in known else get(piece) for piece in pieces] if once else map(known.__getitem__, pieces))
 
     def _learn(self, runs: list[str]) -> None:
         """Encode runs as lines of one text: a line end before a run is a piece of its own, so its id parts them."""
@@ -100,10 +104,11 @@ class PieceEncoder:
             cuts = np.flatnonzero(ids == np.frombuffer(self.known["\n"], self.id_type)[0]) * self.width
             if len(cuts) != len(lines) - 1:  # a vocabulary in which the line end is more than one id, or merges
                 self.known.update(zip(lines, self.whole(lines), strict=True))
-                continue
-            data = ids.tobytes()
-            begin, end = [0, *(cuts + self.width).tolist()], [*cuts.tolist(), len(data)]
-            self.known.update({line: data[a:b] for line, a, b in zip(lines, begin, end, strict=True)})
+            else:
+                data = ids.tobytes()
+                begin, end = [0, *(cuts + self.width).tolist()], [*cuts.tolist(), len(data)]
+                self.known.update({line: data[a:b] for line, a, b in zip(lines, begin, end, strict=True)})
+            self.held += PIECE_COST * len(lines) + sum(map(len, lines)) + len(ids) * self.width
 
     def pieces_of(self, text: str, odd: set[str]) -> list[str]:
         """The text in pieces between places where the pattern is certain to cut; those that are not plain runs go to ``odd`` too."""
