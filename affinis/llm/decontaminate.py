@@ -1,6 +1,6 @@
 """Benchmark decontamination: every passage of the training texts queries a BM25 index of the test items.
 
-The index holds, for every term, the items it occurs in and its BM25 impact there, divided by the score that the item gives its
+The index holds, for every term, its postings: the items it occurs in and its BM25 impact there, divided by the score that the item gives its
 own words, so 1.0 means "all of the item's words". Items are dealt into length classes, and within a class into blocks; the index
 keeps the highest impact of each term in each block and overall. Texts are cut into passages of twice the longest item of the
 class, one overlapping half of the next, so any run as long as an item lies whole in one passage.
@@ -10,55 +10,95 @@ impacts add up to less than the threshold is passed over; for the rest, so is ev
 less; only in the blocks that are left, items are scored exactly. All items at or above the threshold are retrieved and verified: of the
 question's distinct five-word shingles, the passage must hold at least ``overlap``, and the same share of the answer's words.
 
-The index of a bounded number of item bytes is sent to the tasks at a time; more items take more scans of the texts.
+Items are dealt into parts of a bounded number of bytes. Each part's postings are made in a task, under the statistics of all items, and stored in
+the shared folder; the driver knows the names of the files. The texts are scanned once: a task holds each batch against one part after the
+other, and keeps parts in memory up to a bound.
 """
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from affinis.llm import words as W
 from affinis.llm.common import text_of
+from affinis.llm.token_files import _place
 from affinis.operators.staging import materialize
 
 K1, B = 1.2, 0.75
 SCORE = 0.5
 OVERLAP = 0.8
 ITEMS_PER_BLOCK = 16
-INDEX_BYTES = 16 << 20
+INDEX_BYTES = 2 << 20
+HELD_BYTES = 64 << 20
 _U = np.uint64
 _BITS = 20
 
 
+def _ranges(starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Places of all the given ranges, one after the other."""
+    lengths = ends - starts
+    first = np.cumsum(lengths) - lengths
+    return np.repeat(starts - first, lengths) + np.arange(int(lengths.sum()))
+
+
 @dataclass
 class LengthClass:
-    """The index of the items of one length class."""
+    """The index of the items of one length class: postings ``(term, slot, impact)``, sorted, and an entry for each term and block."""
 
     longest: int
-    items: np.ndarray
+    items: list
     questions: list[np.ndarray]
     answers: list[np.ndarray]
-    terms: np.ndarray = field(default_factory=lambda: np.zeros(0, _U))
-    impacts: np.ndarray = field(default_factory=lambda: np.zeros((0, 0), np.float32))
+    terms: np.ndarray
+    slots: np.ndarray
+    weights: np.ndarray
+    lists: np.ndarray
 
     def __post_init__(self):
-        n = len(self.items)
-        blocks = -(-n // ITEMS_PER_BLOCK)
-        padded = np.zeros((len(self.terms), blocks * ITEMS_PER_BLOCK), np.float32)
-        padded[:, :n] = self.impacts
-        self.impacts = padded.reshape(len(self.terms), blocks, ITEMS_PER_BLOCK)
-        self.block_max = self.impacts.max(axis=2) if len(self.terms) else np.zeros((0, blocks), np.float32)
-        self.term_max = self.block_max.max(axis=1) if len(self.terms) else np.zeros(0, np.float32)
+        of_term = np.repeat(np.arange(len(self.terms)), np.diff(self.lists))
+        block = self.slots // ITEMS_PER_BLOCK
+        first = np.flatnonzero((np.diff(of_term, prepend=-1) != 0) | (np.diff(block, prepend=-1) != 0))
+        self.starts = np.append(first, len(self.slots))
+        self.block, self.blocks = block[first], -(-len(self.items) // ITEMS_PER_BLOCK)
+        self.highest = np.maximum.reduceat(self.weights, first)
+        self.entries = np.searchsorted(of_term[first], np.arange(len(self.terms) + 1))
+        self.term_max = np.maximum.reduceat(self.weights, self.lists[:-1])
         self.known = np.zeros(1 << _BITS, bool)
         self.known[self.terms >> _U(64 - _BITS)] = True
 
+    @property
+    def size(self) -> int:
+        """Bytes, about."""
+        arrays = (self.terms, self.slots, self.weights, self.lists, self.starts, self.block, self.highest, self.entries, self.known)
+        return sum(a.nbytes for a in (*arrays, *self.questions, *self.answers)) + 300 * len(self.items)
+
+    @property
+    def impacts(self) -> np.ndarray:
+        """The postings as a matrix of terms and items, for a look at small classes."""
+        out = np.zeros((len(self.terms), len(self.items)), np.float32)
+        out[np.repeat(np.arange(len(self.terms)), np.diff(self.lists)), self.slots] = self.weights
+        return out
+
+    def candidates(self, terms: np.ndarray, score: float) -> list[tuple[int, float]]:
+        """Items that reach the score with the given distinct terms, and their scores; blocks that can't are passed over."""
+        entry = _ranges(self.entries[terms], self.entries[terms + 1])
+        bounds = np.bincount(self.block[entry], weights=self.highest[entry], minlength=self.blocks)
+        chosen = entry[bounds[self.block[entry]] >= score * (1 - 1e-5)]
+        if not len(chosen):
+            return []
+        places = _ranges(self.starts[chosen], self.starts[chosen + 1])
+        scores = np.bincount(self.slots[places], weights=self.weights[places])
+        return [(slot, float(scores[slot])) for slot in np.flatnonzero(scores >= score * (1 - 1e-6)).tolist()]
+
     def lookup(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Places of the words that the index has, and their term numbers."""
         place = np.flatnonzero(self.known[words >> _U(64 - _BITS)])
@@ -112,47 +152,94 @@ def _classes(rows: list, df: dict[int, int], n: int, mean: float) -> list[Length
         out.setdefault(size, []).append((rows[k].item_id, own, shingles, np.unique(a)))
     classes = []
     for items in out.values():
-        terms = np.unique(np.concatenate([i[1] for i in items]))
-        impacts = np.zeros((len(terms), len(items)), np.float32)
-        idf = np.array([np.log(1 + (n - df[t] + 0.5) / (df[t] + 0.5)) for t in terms.view(np.int64).tolist()])
-        for k, (_, own, _, _) in enumerate(items):
-            term, tf = np.unique(own, return_counts=True)
-            at = np.searchsorted(terms, term)
-            impact = idf[at] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * len(own) / mean))
-            impacts[at, k] = impact / impact.sum()
-        classes.append(LengthClass(max(len(i[1]) for i in items), np.array([i[0] for i in items]), [i[2] for i in items],
-                                   [i[3] for i in items], terms, impacts))
+        lengths = np.array([len(i[1]) for i in items])
+        words, slot = np.concatenate([i[1] for i in items]), np.repeat(np.arange(len(items)), lengths)
+        order = np.lexsort((slot, words))
+        words, slot = words[order], slot[order]
+        first = np.flatnonzero((np.diff(slot, prepend=-1) != 0) | (np.diff(words, prepend=words[:1] ^ _U(1)) != 0))
+        tf = np.diff(first, append=len(words)).astype(np.float64)
+        words, slot = words[first], slot[first]
+        begin = np.flatnonzero(np.diff(words, prepend=words[:1] ^ _U(1)) != 0)
+        terms = words[begin]
+        held = np.array([df[t] for t in terms.view(np.int64).tolist()], np.float64)
+        idf = np.repeat(np.log(1 + (n - held + 0.5) / (held + 0.5)), np.diff(begin, append=len(words)))
+        impact = idf * tf * (K1 + 1) / (tf + K1 * (1 - B + B * lengths[slot] / mean))
+        impact /= np.bincount(slot, weights=impact, minlength=len(items))[slot]
+        classes.append(LengthClass(int(lengths.max()), [i[0] for i in items], [i[2] for i in items], [i[3] for i in items], terms,
+                                   slot.astype(np.int32), impact.astype(np.float32), np.append(begin, len(words))))
     return classes
 
 
-def build_index(items: DataFrame, limit: int = INDEX_BYTES) -> list[list[LengthClass]]:
-    """Index parts of ``items (item_id, question, answer)``; each holds items of about ``limit`` bytes, with statistics over all.
+def build_index(items: DataFrame, limit: int = INDEX_BYTES) -> list[str]:
+    """Files of the stored index of ``items (item_id, question, answer)``, in parts of about ``limit`` bytes of items; an item is never cut.
 
-    Items without a word are left out; null parts read as empty.
+    Items without a word, or without an id, are left out; null parts of an item read as empty. The driver gets counts and names only.
     """
     items = materialize(items.select("item_id", text_of("question").alias("question"), text_of("answer").alias("answer"))
                         .where("item_id is not null"), "items")
     size = F.octet_length("question") + F.octet_length("answer")
     total = items.agg(F.sum(size)).first()[0] or 0
+    if not total:
+        return []
     terms, n, mean = term_statistics(items)
-    parts = max(1, -(-total // limit))
-    terms = materialize(terms, "item-statistics")
-    dealt = items.withColumn("part", F.pmod(F.xxhash64("item_id", "question"), F.lit(parts)))
-    found = []
-    for part in range(parts):
-        own = dealt.where(F.col("part") == part)
-        rows = own.collect()  # about ``limit`` bytes
-        if not rows:
+    parts = -(-total // limit)
+    dealt = items.withColumn("part", F.pmod(F.xxhash64("item_id", "question", "answer"), F.lit(parts)))
+
+    def distinct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = W.plain(batch.column("text"))
+            for i, j in W.chunks(texts):
+                words, starts = W.word_hashes(texts.slice(i, j - i))
+                part = np.repeat(np.asarray(batch.column("part").slice(i, j - i)), np.diff(starts))
+                found = np.unique(np.stack([part.astype(np.int64), words.view(np.int64)]), axis=1)
+                yield pa.RecordBatch.from_arrays([pa.array(found[0]), pa.array(found[1])], names=["part", "term"])
+
+    wanted = dealt.select("part", F.concat_ws("\n", "question", "answer").alias("text")).mapInArrow(distinct, "part long, term long")
+    wanted = wanted.distinct().join(terms, "term").select("part", "term", "df")
+
+    def build(rows: pa.Table, df: pa.Table) -> pa.Table:
+        if not rows.num_rows:
+            return pa.table({"data": pa.array([], pa.binary())})
+        held = dict(zip(df.column("term").to_pylist(), df.column("df").to_pylist(), strict=True))
+        own = [_Item(**r) for r in rows.select(["item_id", "question", "answer"]).to_pylist()]
+        return pa.table({"data": pa.array([pickle.dumps(_classes(own, held, n, mean))], pa.binary())})
+
+    built = dealt.groupBy("part").cogroup(wanted.groupBy("part")).applyInArrow(build, "data binary")
+    return sorted(materialize(built, "index-parts").inputFiles())
+
+
+@dataclass(frozen=True)
+class _Item:
+    item_id: object
+    question: str
+    answer: str
+
+
+_HELD: dict[tuple[str, int], list[LengthClass]] = {}
+
+
+def _parts(files: list[str]) -> Iterator[list[LengthClass]]:
+    """The parts of the index, one after the other; a worker keeps those that fit its memory bound for its next batch."""
+    for uri in files:
+        if (uri, -1) not in _HELD:
+            fs, path = _place(uri)
+            with fs.open_input_file(path) as source:
+                number = -1
+                for number, batch in enumerate(pq.ParquetFile(source).iter_batches(1, columns=["data"])):
+                    part = pickle.loads(batch.column("data")[0].as_py())
+                    size = sum(c.size for c in part)
+                    if sum(c.size for p in _HELD.values() for c in p) + size <= HELD_BYTES:
+                        _HELD[uri, number] = part
+                    yield part
+                if all((uri, k) in _HELD for k in range(number + 1)):
+                    _HELD[uri, -1] = []
+                    _COUNTS[uri] = number + 1
             continue
-        words, _ = W.word_hashes(W.plain(pa.array([f"{r.question}\n{r.answer}" for r in rows])))
-        if parts == 1:
-            df = {r.term: r.df for r in terms.collect()}
-        else:
-            wanted = items.sparkSession.createDataFrame(
-                [(t,) for t in np.unique(words).view(np.int64).tolist()], "term long")
-            df = {r.term: r.df for r in terms.join(wanted, "term").collect()}
-        found.append(_classes(rows, df, n, mean))
-    return found
+        for number in range(_COUNTS[uri]):
+            yield _HELD[uri, number]
+
+
+_COUNTS: dict[str, int] = {}
 
 
 def _search(texts: pa.Array, classes: list[LengthClass], score: float, overlap: float) -> list[tuple[int, object, float, float, float]]:
@@ -186,21 +273,17 @@ def _search(texts: pa.Array, classes: list[LengthClass], score: float, overlap:
             if stop > h:
                 terms = np.unique(terms)
             # second bound: the highest impact of each word in each block of items
-            blocks = np.flatnonzero(own.block_max[terms].sum(axis=0) >= score * (1 - 1e-5))
-            for block in blocks.tolist():
-                scores = own.impacts[terms, block].sum(axis=0)
-                for slot in np.flatnonzero(scores >= score).tolist():
-                    item = block * ITEMS_PER_BLOCK + slot
-                    text = int(np.searchsorted(first_half, h, side="right")) - 1
-                    begin = int(starts[text]) + (h - int(first_half[text])) * half
-                    part = words[begin: min(begin + 2 * half, int(starts[text + 1]))]
-                    shingles, _ = W.shingles(part, np.array([0, len(part)]))
-                    question = np.isin(own.questions[item], shingles).mean()
-                    answer = np.isin(own.answers[item], part).mean() if len(own.answers[item]) else 1.0
-                    if question >= overlap and answer >= overlap:
-                        key = (text, own.items[item].item() if hasattr(own.items[item], "item") else own.items[item])
-                        found = (float(scores[slot]), float(question), float(answer))
-                        best[key] = max(best.get(key, found), found)
+            for item, reached in own.candidates(terms, score):
+                text = int(np.searchsorted(first_half, h, side="right")) - 1
+                begin = int(starts[text]) + (h - int(first_half[text])) * half
+                part = words[begin: min(begin + 2 * half, int(starts[text + 1]))]
+                shingles, _ = W.shingles(part, np.array([0, len(part)]))
+                question = np.isin(own.questions[item], shingles).mean()
+                answer = np.isin(own.answers[item], part).mean() if len(own.answers[item]) else 1.0
+                if question >= overlap and answer >= overlap:
+                    key = (text, own.items[item])
+                    found = (reached, float(question), float(answer))
+                    best[key] = max(best.get(key, found), found)
     return [(*key, *value) for key, value in sorted(best.items(), key=lambda x: x[0][0])]
 
 
@@ -215,43 +298,47 @@ def contaminated(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text
     schema = T.StructType([T.StructField("doc_id", kinds[0]), T.StructField("item_id", kinds[1]),
                            *[T.StructField(c, T.DoubleType()) for c in ("score", "question_overlap", "answer_overlap")]])
     rows = docs.select(F.col(doc_id).alias("doc_id"), text_of(text).alias("text"))
-    spark, found = docs.sparkSession, None
-    for part in build_index(items):
-        index = spark.sparkContext.broadcast(part)  # at most INDEX_BYTES of items
-
-        def search(batches: Iterator[pa.RecordBatch], index=index) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                texts = W.plain(batch.column("text"))
-                ids = batch.column("doc_id")
-                for i, j in W.chunks(texts):
-                    hits = _search(texts.slice(i, j - i), index.value, score, overlap)
-                    if hits:
-                        own = ids.take(pa.array([i + h[0] for h in hits]))
-                        yield pa.RecordBatch.from_arrays(
-                            [own, *(pa.array([h[k] for h in hits]) for k in range(1, 5))], names=schema.names)
-
-        hits = rows.mapInArrow(search, schema)
-        found = hits if found is None else found.unionByName(hits)
-    return spark.createDataFrame([], schema) if found is None else found
+    files = build_index(items)
+    if not files:
+        return docs.sparkSession.createDataFrame([], schema)
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            best: dict[tuple[int, object], tuple[float, float, float]] = {}
+            for row, item, *found in _hits(W.plain(batch.column("text")), files, score, overlap):
+                best[row, item] = max(best.get((row, item), tuple(found)), tuple(found))
+            if best:
+                keys = sorted(best, key=lambda key: key[0])
+                columns = [pa.array([key[1] for key in keys]), *(pa.array([best[key][k] for key in keys]) for k in range(3))]
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id").take(pa.array([key[0] for key in keys])), *columns],
+                                                 names=schema.names)
+
+    return rows.mapInArrow(search, schema)
+
+
+def _hits(texts: pa.Array, files: list[str], score: float, overlap: float) -> Iterator[tuple]:
+    """Verified hits ``(row, item, score, question overlap, answer overlap)`` of a batch of texts with all parts of the index."""
+    for part in _parts(files):
+        for i, j in W.chunks(texts):
+            for row, *found in _search(texts.slice(i, j - i), part, score, overlap):
+                yield i + row, *found
 
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, text: str = "text", score: float = SCORE,
                       overlap: float = OVERLAP) -> DataFrame:
     """The rows of ``docs`` that hold no test item, as they are."""
-    for part in build_index(items):
-        index = docs.sparkSession.sparkContext.broadcast(part)
-
-        def clean(batches: Iterator[pa.RecordBatch], index=index) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                texts = W.plain(batch.column(text))
-                keep = np.ones(len(texts), bool)
-                for i, j in W.chunks(texts):
-                    for hit in _search(texts.slice(i, j - i), index.value, score, overlap):
-                        keep[i + hit[0]] = False
-                yield batch.filter(pa.array(keep))
-
-        docs = docs.mapInArrow(clean, docs.schema)
-    return docs
+    files = build_index(items)
+    if not files:
+        return docs
+
+    def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = np.ones(batch.num_rows, bool)
+            for row, *_ in _hits(W.plain(batch.column(text)), files, score, overlap):
+                keep[row] = False
+            yield batch.filter(pa.array(keep))
+
+    return docs.mapInArrow(clean, docs.schema)
 
 
 def with_parts(items: DataFrame, item_id: str = "item_id", text: str = "text") -> DataFrame:

@@ -31,7 +31,7 @@ from affinis.operators.staging import materialize, staging_root
 OLD_SHARDS, SHARDS = 32, 40
 ROW_BYTES = 16
 BUCKET_ROWS = 4096
-PIECE_ROWS = 100_000
+PIECE_ROWS, FILE_ROWS = 4096, 100_000
 
 
 def min_cost_flow(supplies: list[int], demands: list[int], cost) -> tuple[dict[tuple[int, int], int], int]:
@@ -256,7 +256,7 @@ def rewrite(docs: DataFrame, placed: DataFrame, folder: str, doc_id: str = "doc_
 
 
 def reshard_files(docs: DataFrame, old: Column, shards: int = SHARDS, doc_id: str = "doc_id", text: str = "text",
-                  folder: str | None = None, file_rows: int = PIECE_ROWS, **options) -> DataFrame:
+                  folder: str | None = None, file_rows: int = FILE_ROWS, **options) -> DataFrame:
     """The rows of ``reshard`` after the affected shards were written (to a new folder in the shared one, if none is given).
 
     Rows of affected shards come from the files, with sizes and checksums of the texts found there; the others from the placement. The
