@@ -9,7 +9,7 @@ from affinis.operators.jaccard import (lsh_bands, lsh_candidates, member_codes,
                                        similar_items, similar_items_exact, similar_items_lsh, similar_sets_exact, similar_sets_lsh)
 from affinis.operators.model import fit_model, predict_model
 from affinis.operators.similar import SimilarItems
-from affinis.operators.staging import stored_tables
+from affinis.operators.staging import shared_tables, stored_tables
 from affinis.operators.stats import RatingColumns, item_stats, latest_ratings, user_rating_stats, user_stats
 from affinis.sources.ratings import (prepare_ratings, read_checked, read_item_profiles, read_predictions, read_ratings,
                                      read_similar_pairs, read_user_profiles, split_ratings, write_pairs,
@@ -21,6 +21,6 @@ __all__ = [
     "latest_ratings", "lifted_weight", "lsh_bands", "lsh_candidates", "member_codes", "minhash_signatures",
     "pair_precision_recall", "predict_hybrid", "predict_item_cf", "predict_model", "prediction_range",
     "prepare_ratings", "read_checked", "read_item_profiles", "read_predictions", "read_ratings", "read_similar_pairs",
-    "read_user_profiles", "rescale_predictions", "rmse", "set_families", "similar_items", "similar_items_exact", "similar_items_lsh",
+    "read_user_profiles", "rescale_predictions", "rmse", "set_families", "shared_tables", "similar_items", "similar_items_exact", "similar_items_lsh",
     "similar_sets_exact", "similar_sets_lsh", "split_ratings", "stored_tables", "user_rating_stats", "user_stats", "write_pairs", "write_predictions", "write_ratings",
 ]

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from affinis.functions.similarity import TERMS, amplify, exact_terms, fits_in_bigint, pearson_quotient, ratio_of_averages
 from affinis.operators.pairfilter import PairFilter, filter_of
-from affinis.operators.staging import BLOCK, hot_keys, materialize, self_pairs, spread_join
+from affinis.operators.staging import BLOCK, hot_keys, materialize, self_pairs, spread_join, stored_once
 from affinis.operators.stats import RatingColumns, item_totals, pair_ratings, user_totals
 
 log = logging.getLogger(__name__)
@@ -34,7 +34,7 @@ def item_similarity(ratings: DataFrame, pairs: DataFrame | None = None, c: Ratin
     common user get the ratio of their averages. ``mode="default_voting"`` runs over the union of the users.
     ``min_common`` halves the similarity of pairs with fewer common users.
     """
-    rated = materialize(pair_ratings(ratings, c), "rated")
+    rated = stored_once(pair_ratings(ratings, c), "rated")
     items = item_totals(rated)
     if pairs is None:
         sums = co_rating_sums(rated, None, heavy_profile, block)
@@ -50,7 +50,7 @@ def item_similarity(ratings: DataFrame, pairs: DataFrame | None = None, c: Ratin
 
 def cold_start_cells(train: DataFrame, pairs: DataFrame, c: RatingColumns = RatingColumns()) -> DataFrame:
     """``(user, item, cell)`` for each distinct pair; the cells are ``COLD_CELLS``."""
-    rated = materialize(pair_ratings(train, c), "rated")
+    rated = stored_once(pair_ratings(train, c), "rated")
     return _targets(rated, pairs, c).select(F.col("user").alias(c.user), F.col("item").alias(c.item), "cell")
 
 
@@ -69,7 +69,7 @@ def predict_item_cf(train: DataFrame, pairs: DataFrame, c: RatingColumns = Ratin
     """
     if cold not in ("averages", "default"):
         raise ValueError(f"unknown cold-start rule: {cold}")
-    rated = materialize(pair_ratings(train, c), "rated")
+    rated = stored_once(pair_ratings(train, c), "rated")
     targets = materialize(_targets(rated, pairs, c), "targets")
     neighbours = _neighbours(rated, targets, mode, min_common, heavy_profile, block)
     weight = amplify(F.col("similarity"), rho)

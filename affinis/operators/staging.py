@@ -57,6 +57,44 @@ def stored_tables(spark: SparkSession) -> Iterator[None]:
             place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
 
 
+_SHARED: list[list[tuple[int, DataFrame, DataFrame]]] = []
+
+
+@contextmanager
+def shared_tables() -> Iterator[None]:
+    """Within it, ``stored_once`` finds a table again that was stored from the same plan, whoever asks for it.
+
+    An inner scope sees the tables of the outer ones. Leaving the scope forgets the tables but doesn't remove them, so
+    results may be read later.
+    """
+    _SHARED.append([])
+    try:
+        yield
+    finally:
+        _SHARED.pop()
+
+
+def stored_once(df: DataFrame, name: str) -> DataFrame:
+    """``materialize``, but once for equal plans within a scope of ``shared_tables``.
+
+    Plans are told by their fingerprint and then compared: equal are those that read the same files and do the same to them.
+    """
+    mark = df.semanticHash()
+    for scope in reversed(_SHARED):
+        for known, plan, table in scope:
+            if known == mark and plan.sameSemantics(df):
+                return table
+    table = materialize(df, name)
+    if _SHARED:
+        _SHARED[-1].append((mark, df, table))
+    return table
+
+
+def sharing() -> bool:
+    """Whether a scope of ``shared_tables`` is open."""
+    return bool(_SHARED)
+
+
 def wide_scan(table: DataFrame, key: str) -> DataFrame:
     """Spread a stored table over all cores where its files give fewer splits than that.
 

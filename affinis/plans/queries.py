@@ -26,6 +26,15 @@ BOOSTED = ("user_min", "business_avg_stars")
 UNIVERSAL = 12
 
 
+def shared(query: Query) -> Query:
+    """The query with tables that its parts have in common stored once."""
+    def run(spark, folder):
+        with af.shared_tables():
+            return query(spark, folder)
+
+    return run
+
+
 def rounded(df: DataFrame, *columns: str) -> DataFrame:
     return df.withColumns({x: F.round(x, 6) for x in columns})
 
@@ -131,7 +140,7 @@ def item_cf(**options) -> Query:
     def run(spark, folder):
         return rounded(af.predict_item_cf(t.train(spark, folder), t.test(spark, folder), C, **options), "prediction")
 
-    return run
+    return shared(run)
 
 
 def co_rated_similarity(spark, folder):
@@ -342,7 +351,7 @@ QUERIES: dict[str, Query] = {
     "user_stats": user_stats,
     "split_train_test": split_train_test,
     "prepared_ratings": prepared_ratings,
-    "cold_start_cells": cold_start_cells,
+    "cold_start_cells": shared(cold_start_cells),
     "user_codes": user_codes,
     "minhash_signatures": minhash_signatures,
     "lsh_universal": lsh_universal,
@@ -356,7 +365,7 @@ QUERIES: dict[str, Query] = {
     "set_families": set_families,
     "similar_items_by_raters": similar_items_by_raters,
     "lsh_precision_recall": lsh_precision_recall,
-    "item_pair_similarity": item_pair_similarity,
+    "item_pair_similarity": shared(item_pair_similarity),
     "item_cf_rho25": item_cf(rho=2.5),
     "item_cf_rho6": item_cf(rho=6.0),
     "item_cf_topk": item_cf(rho=2.5, k=10),
@@ -365,8 +374,8 @@ QUERIES: dict[str, Query] = {
     "item_cf_rescaled": item_cf(rho=2.5, rescale=True),
     "item_cf_whole_stars": item_cf(rho=2.5, round_to=0),
     "item_cf_cold_default": item_cf(rho=2.5, cold="default"),
-    "item_cf_half_stars": item_cf_half_stars,
-    "item_cf_repeated_rows": item_cf_repeated_rows,
+    "item_cf_half_stars": shared(item_cf_half_stars),
+    "item_cf_repeated_rows": shared(item_cf_repeated_rows),
     "co_rated_similarity": co_rated_similarity,
     "user_rating_stats": user_rating_stats,
     "user_sample_variance": user_sample_variance,
@@ -378,20 +387,20 @@ QUERIES: dict[str, Query] = {
     "feature_vectors": feature_vectors,
     "features_with_extra": features_with_extra,
     "features_numeric_text": features_numeric_text,
-    "model_stump": model_stump,
-    "model_boosted_stumps": model_boosted_stumps,
-    "hybrid_stump": hybrid_stump,
+    "model_stump": shared(model_stump),
+    "model_boosted_stumps": shared(model_boosted_stumps),
+    "hybrid_stump": shared(hybrid_stump),
     "ratings_csv": ratings_csv,
     "ratings_quarantine": ratings_quarantine,
     "item_profiles_json": item_profiles_json,
     "profiles_json": profiles_json,
     "pairs_sink": pairs_sink,
-    "predictions_sink": predictions_sink,
-    "model_predictions": model_predictions,
+    "predictions_sink": shared(predictions_sink),
+    "model_predictions": shared(model_predictions),
     "hybrid_weight": hybrid_weight,
     "hybrid_weight_lifted": hybrid_weight_lifted,
-    "hybrid_cf_useravg": hybrid_cf_useravg,
-    "hybrid_predictions": hybrid_predictions,
-    "rmse_item_cf": rmse_item_cf,
-    "prediction_range": prediction_range,
+    "hybrid_cf_useravg": shared(hybrid_cf_useravg),
+    "hybrid_predictions": shared(hybrid_predictions),
+    "rmse_item_cf": shared(rmse_item_cf),
+    "prediction_range": shared(prediction_range),
 }

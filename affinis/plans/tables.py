@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from affinis.functions.hashing import hash_fraction
 from affinis.operators.features import COMPLIMENT_FEATURES
-from affinis.operators.staging import wide_scan
+from affinis.operators.staging import sharing, stored_once, wide_scan
 from affinis.operators.stats import RatingColumns, latest_ratings
 
 COLUMNS = RatingColumns(user="user_id", item="item_id", stars="stars", order=("ok", "ln", "sk"))
@@ -41,9 +41,11 @@ def train_and_test_rows(spark: SparkSession, folder: str) -> tuple[DataFrame, Da
     by_order = (hash_fraction("ok", seed="order") < TEST_ORDERS) | (hash_fraction("user_id", seed="user") < COLD_USERS)
     by_item = hash_fraction("item_id", seed="item") < COLD_ITEMS
     rows = _rated_lines(spark, folder, by_order.alias("by_order"))
-    held_out = F.col("by_order") | by_item
     columns = ("user_id", "item_id", "stars", "ok", "ln", "sk")
-    return rows.where(~held_out).select(*columns), rows.where(held_out).select(*columns)
+    rows = rows.select(*columns, (F.col("by_order") | by_item).alias("held_out"))
+    if sharing():  # several parts of a query read the split
+        rows = stored_once(rows, "split")
+    return rows.where(~F.col("held_out")).select(*columns), rows.where("held_out").select(*columns)
 
 
 def train(spark: SparkSession, folder: str) -> DataFrame:
