@@ -1,6 +1,6 @@
 """WARC archives packed in ZIP files, read by ranges without extraction; duplicate payloads are written as revisits.
 
-Writing. Each task writes one package: a ZIP file with the stored (not compressed) members ``archive/data.warc.gz``, whose
+Writing. Each task writes packages of up to ``PACKAGE_RECORDS`` records: ZIP files with the stored (not compressed) members ``archive/data.warc.gz``, whose
 records are gzip members of their own, and ``indexes/index.cdx``, one line a record: target, archive member, offset and length in
 it. Of the records of one payload, that of the largest id is a response and holds it; the others are revisits, which name
 the response, its digest and the length of the payload, and hold none.
@@ -39,6 +39,7 @@ DATE = "2000-01-01T00:00:00Z"
 SMALLEST = 0
 RANGE_BYTES = 16 << 20
 ROWS_AT_ONCE = 256
+PACKAGE_RECORDS = 100_000
 TAIL = 1 << 16
 INDEX_CHUNK = 1 << 20
 
@@ -242,36 +243,52 @@ def plan_records(pages: DataFrame, page_id: str = "page_id", url: str = "url", p
     return told.where(~several).select(*columns, named).unionByName(one), revisits
 
 
-def write_packages(pages: DataFrame, folder: str, **options) -> DataFrame:
+class PackageWriter:
+    """One package: records are added, and closing it writes the index and the directory."""
+
+    def __init__(self, folder: str):
+        fs, root = place(folder)
+        fs.create_dir(root, recursive=True)
+        self.name = f"package-{uuid.uuid4().hex}.zip"
+        self.stream = fs.open_output_stream(f"{root}/{self.name}")
+        self.package = zipfile.ZipFile(self.stream, "w", zipfile.ZIP_STORED)
+        self.member = self.package.open(ARCHIVE, "w", force_zip64=True)
+        self.lines: list[bytes] = []
+        self.offset = 0
+
+    def add(self, target: str | None, raw: bytes) -> None:
+        self.member.write(raw)
+        self.lines.append(f"{_written(target)} {ARCHIVE} {self.offset} {len(raw)}\n".encode())
+        self.offset += len(raw)
+
+    def close(self) -> pa.RecordBatch:
+        """The row of the table of packages."""
+        self.member.close()
+        with self.package.open(INDEX, "w", force_zip64=True) as index:
+            index.write(b"".join(self.lines))
+        self.package.close()
+        self.stream.close()
+        return pa.RecordBatch.from_pydict({"package": [self.name], "records": [len(self.lines)]})
+
+
+def write_packages(pages: DataFrame, folder: str, package_records: int = PACKAGE_RECORDS, **options) -> DataFrame:
     """Write the packages of all rows to ``folder`` (a path or URI that all executors reach); ``(package, records)``, stored."""
     responses, revisits = plan_records(pages, **options)
     rows = responses.drop("key").unionByName(revisits, allowMissingColumns=True)
     rows = rows.withColumns({c: F.col(c).cast("string") for c in ("page_id", "ref_id")})
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        fs, root = place(folder)
-        name = f"package-{uuid.uuid4().hex}.zip"
-        stream = package = member = None
-        lines, offset = [], 0
+        package = None
         for batch in batches:
             for k in range(0, batch.num_rows, ROWS_AT_ONCE):
                 for row in batch.slice(k, ROWS_AT_ONCE).to_pylist():
-                    if package is None:
-                        fs.create_dir(root, recursive=True)
-                        stream = fs.open_output_stream(f"{root}/{name}")
-                        package = zipfile.ZipFile(stream, "w", zipfile.ZIP_STORED)
-                        member = package.open(ARCHIVE, "w", force_zip64=True)
-                    raw = _record_of(row)
-                    member.write(raw)
-                    lines.append(f"{_written(row['page_id'])} {ARCHIVE} {offset} {len(raw)}\n".encode())
-                    offset += len(raw)
-        if package is not None:
-            member.close()
-            with package.open(INDEX, "w", force_zip64=True) as index:
-                index.write(b"".join(lines))
-            package.close()
-            stream.close()
-            yield pa.RecordBatch.from_pydict({"package": [name], "records": [len(lines)]})
+                    package = package or PackageWriter(folder)
+                    package.add(row["page_id"], _record_of(row))
+                    if len(package.lines) == package_records:
+                        yield package.close()
+                        package = None
+        if package:
+            yield package.close()
 
     return materialize(rows.mapInArrow(write, "package string, records long"), "packages")
 

@@ -117,8 +117,9 @@ def test_pages_without_repeats_and_no_pages(spark, tmp_path):
 
 def test_packages_are_zip_files_and_ranges_hold_whole_records(spark, tmp_path):
     rows = rows_of(40, 2)
-    packages = warc.write_packages(spark.createDataFrame(rows, PAGES).repartition(2), f"{tmp_path}/p")
-    assert packages.agg({"records": "sum"}).first()[0] == len(rows)
+    packages = warc.write_packages(spark.createDataFrame(rows, PAGES).repartition(2), f"{tmp_path}/p", package_records=17)
+    assert packages.agg({"records": "sum", "*": "count"}).first()["sum(records)"] == len(rows)
+    assert packages.agg({"records": "max"}).first()[0] == 17 and packages.count() > len(rows) // 17
     for line in warc.index_lines(packages, f"{tmp_path}/p").collect():
         with open(f"{tmp_path}/p/{line.package}", "rb") as file:
             file.seek(line.start)
