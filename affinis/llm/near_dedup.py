@@ -37,7 +37,7 @@ THRESHOLD = 0.8
 BANDS, ROWS = 56, 7
 SKETCH = 96
 FILTER_BITS = 25
-COUNTER_BITS = 20
+COUNTER_BITS = 18
 CROWDED = 8
 _U = np.uint64
 ELEMENT_BITS = 52
