@@ -18,8 +18,8 @@ log = logging.getLogger(__name__)
 HEAVY_PROFILE = 2_000
 # What a looked-up row costs, in rows made by pairing: it travels to the other item's raters, a paired one meets a filter where it is.
 LOOKUP_COST = 4.0
-# A filter of the wanted pairs is made where pairing makes this many times as many rows.
-FILTER_GAIN = 2.0
+# A filter of the wanted pairs is made where pairing makes this many times as many rows: a pair travels to its block as a paired row would.
+FILTER_GAIN = 1.0
 COLD_CELLS = ("both_known", "already_rated", "cold_user", "cold_item", "both_cold")
 ITEM_COLUMNS = ("total", "rows", "all_sum", "all_squares", "raters")
 
@@ -35,7 +35,7 @@ def item_similarity(ratings: DataFrame, pairs: DataFrame | None = None, c: Ratin
     ``min_common`` halves the similarity of pairs with fewer common users.
     """
     rated = stored_once(pair_ratings(ratings, c), "rated")
-    items = item_totals(rated)
+    items = stored_once(item_totals(rated), "item-totals")
     if pairs is None:
         sums = co_rating_sums(rated, None, heavy_profile, block)
         wanted = sums.select("a", "b", "n_common", *SUMS)
@@ -51,7 +51,7 @@ def item_similarity(ratings: DataFrame, pairs: DataFrame | None = None, c: Ratin
 def cold_start_cells(train: DataFrame, pairs: DataFrame, c: RatingColumns = RatingColumns()) -> DataFrame:
     """``(user, item, cell)`` for each distinct pair; the cells are ``COLD_CELLS``."""
     rated = stored_once(pair_ratings(train, c), "rated")
-    return _targets(rated, pairs, c).select(F.col("user").alias(c.user), F.col("item").alias(c.item), "cell")
+    return _targets(rated, item_totals(rated), pairs, c).select(F.col("user").alias(c.user), F.col("item").alias(c.item), "cell")
 
 
 def predict_item_cf(train: DataFrame, pairs: DataFrame, c: RatingColumns = RatingColumns(), rho: float = 2.5,
@@ -70,8 +70,9 @@ def predict_item_cf(train: DataFrame, pairs: DataFrame, c: RatingColumns = Ratin
     if cold not in ("averages", "default"):
         raise ValueError(f"unknown cold-start rule: {cold}")
     rated = stored_once(pair_ratings(train, c), "rated")
-    targets = materialize(_targets(rated, pairs, c), "targets")
-    neighbours = _neighbours(rated, targets, mode, min_common, heavy_profile, block)
+    items = stored_once(item_totals(rated), "item-totals")
+    targets = materialize(_targets(rated, items, pairs, c), "targets")
+    neighbours = _neighbours(rated, items, targets, mode, min_common, heavy_profile, block)
     weight = amplify(F.col("similarity"), rho)
     neighbours = neighbours.where(F.col("similarity") > 0).withColumn("weight", weight)
     if k is not None:
@@ -134,7 +135,8 @@ def co_rating_sums(rated: DataFrame, wanted: DataFrame | None, heavy_profile: in
                    block: int = BLOCK, focus: DataFrame | None = None, lookup_cost: float = LOOKUP_COST) -> DataFrame:
     """``(a, b, n_common, sum_a, sum_b, squares_a, squares_b, products)`` over common users, ``a < b``.
 
-    Only the co-rated rows of ``wanted`` pairs (a, b), a stored table, enter the sums; without it, all do. There are two ways to them.
+    Only the co-rated rows of ``wanted`` pairs (a, b), a stored table that may repeat them, enter the sums; without it, all do. There are
+    two ways to them.
     Pairing: a profile of p items makes p * (p - 1) / 2 rows, by a self-join on the user; profiles above ``heavy_profile`` are cut into
     blocks. Looking up: each wanted pair goes to the raters of its first item, and those are looked up among the raters of the
     second. Profiles are classed by size (powers of two); both numbers of rows are measured for every class, and each takes the way that makes fewer,
@@ -150,7 +152,7 @@ def co_rated_rows(rated: DataFrame, wanted: DataFrame | None, heavy_profile: int
     Paired rows meet a filter of the wanted pairs before they are shuffled to the exact test.
     """
     light = rated.select("user", "item", "rating")
-    profiles = materialize(light.groupBy("user").agg(F.count(F.lit(1)).alias("_size")), "profiles")
+    profiles = profile_sizes(rated)
     looked_up, made = ([], 0.0) if wanted is None else _looked_up_classes(light, profiles, wanted, lookup_cost)
     of_class = _size_class(F.col("_size"))
     if looked_up:
@@ -172,6 +174,11 @@ def co_rated_rows(rated: DataFrame, wanted: DataFrame | None, heavy_profile: int
     return paired.unionByName(_looked_up(chosen, wanted, block)) if looked_up else paired
 
 
+def profile_sizes(rated: DataFrame) -> DataFrame:
+    """``(user, _size)``: number of items of every user, stored."""
+    return stored_once(rated.groupBy("user").agg(F.count(F.lit(1)).alias("_size")), "profiles")
+
+
 def _size_class(size: Column) -> Column:
     return F.floor(F.log2(size)).cast("int")
 
@@ -203,7 +210,7 @@ def _looked_up_classes(light: DataFrame, profiles: DataFrame, wanted: DataFrame,
 def _looked_up(chosen: DataFrame, wanted: DataFrame, block: int) -> DataFrame:
     """The co-rated rows of the wanted pairs in the stored profiles ``chosen``, by looking up."""
     items = chosen.select("item").distinct()
-    asked = wanted.select("a", "b").join(items.withColumnRenamed("item", "a"), "a", "left_semi").join(
+    asked = wanted.select("a", "b").distinct().join(items.withColumnRenamed("item", "a"), "a", "left_semi").join(
         items.withColumnRenamed("item", "b"), "b", "left_semi")
     first = chosen.select(F.col("item").alias("a"), "user", F.col("rating").alias("rating_a"))
     second = chosen.select(F.col("item").alias("b"), "user", F.col("rating").alias("rating_b"))
@@ -276,14 +283,14 @@ def _with_terms(pairs: DataFrame, mode: str, largest: int, size: str) -> DataFra
     return pairs.withColumns({f"_{name}": F.expr(sql) for name, sql in exact_terms(mode, largest, size).items()})
 
 
-def _targets(rated: DataFrame, pairs: DataFrame, c: RatingColumns) -> DataFrame:
+def _targets(rated: DataFrame, items: DataFrame, pairs: DataFrame, c: RatingColumns) -> DataFrame:
     """Distinct pairs with their number of copies, the totals of both sides, the known rating, and the cell."""
     asked = pairs.groupBy(F.col(c.user).alias("user"), F.col(c.item).alias("item")).agg(
         F.count(F.lit(1)).alias("copies"))
     known = rated.select("user", "item", F.col("rating").alias("known"))
     users = user_totals(rated).withColumnsRenamed({"total": "user_total", "rows": "user_rows"})
     targets = (asked.join(known, ["user", "item"], "left").join(users, "user", "left")
-               .join(item_totals(rated), "item", "left"))
+               .join(items, "item", "left"))
     both, rated_before, cold_user, cold_item, both_cold = COLD_CELLS
     has_user, has_item = F.col("user_rows").isNotNull(), F.col("rows").isNotNull()
     cell = (F.when(F.col("known").isNotNull(), rated_before).when(has_user & has_item, both)
@@ -291,24 +298,29 @@ def _targets(rated: DataFrame, pairs: DataFrame, c: RatingColumns) -> DataFrame:
     return targets.withColumn("cell", cell)
 
 
-def _neighbours(rated: DataFrame, targets: DataFrame, mode: str, min_common: int | None, heavy_profile: int,
+def _neighbours(rated: DataFrame, items: DataFrame, targets: DataFrame, mode: str, min_common: int | None, heavy_profile: int,
                 block: int) -> DataFrame:
-    """``(user, item, other, rating, similarity)``: each open pair against the user's whole profile."""
-    open_pairs = targets.where(F.col("cell") == "both_known").select("user", "item")
-    profile = rated.select("user", F.col("item").alias("other"), "rating")
-    sizes = rated.groupBy("user").agg(F.count(F.lit(1)).alias("_rows"))
+    """``(user, item, other, rating, similarity)``: each open pair against the user's whole profile.
+
+    Pearson similarities are made for co-rated pairs only, once each. A pair without a common user takes the ratio of the averages, which
+    both sides bring along, so it meets no table of pairs.
+    """
+    average = F.col("total") / F.col("rows")
+    open_pairs = targets.where(F.col("cell") == "both_known").select("user", "item", average.alias("item_average"))
+    profile = rated.select("user", F.col("item").alias("other"), "rating").join(
+        items.select(F.col("item").alias("other"), average.alias("other_average")), "other")
+    sizes = profile_sizes(rated).withColumnRenamed("_size", "_rows")
     # Rows multiply here: a shuffle by user keeps all tasks busy where a small broadcast side would not.
     rows = spread_join(open_pairs.hint("merge"), profile, ["user"], block=block, right_sizes=sizes)
     rows = rows.select("user", "item", "other", "rating", F.least("item", "other").alias("a"),
-                       F.greatest("item", "other").alias("b"))
+                       F.greatest("item", "other").alias("b"), ratio_of_averages(F.col("item_average"), F.col("other_average")).alias("ratio"))
     rows = materialize(rows, "neighbours")
-    wanted = materialize(rows.select("a", "b").distinct(), "wanted")
     focus = targets.where(F.col("cell") == "both_known").select("item").distinct()
     # where most items are asked for, marking them would cost more than it saves
     focus = materialize(focus, "focus")
-    focus = focus if 2 * focus.count() < rated.select("item").distinct().count() else None
-    sums = co_rating_sums(rated, wanted, heavy_profile, block, focus)
-    pairs = _with_similarity(wanted.join(sums, ["a", "b"], "left"), item_totals(rated), largest_rating(rated), mode,
-                             min_common)
-    return rows.join(pairs.select("a", "b", "similarity"), ["a", "b"]).select(
-        "user", "item", "other", "rating", "similarity")
+    focus = focus if 2 * focus.count() < items.count() else None
+    sums = co_rating_sums(rated, rows.select("a", "b"), heavy_profile, block, focus)
+    pairs = _with_similarity(sums, items, largest_rating(rated), mode, min_common)
+    found = rows.join(pairs.select("a", "b", F.col("similarity").alias("pearson"), F.lit(True).alias("co_rated")), ["a", "b"], "left")
+    similarity = F.when(F.col("co_rated"), F.col("pearson")).otherwise(F.col("ratio"))
+    return found.select("user", "item", "other", "rating", similarity.alias("similarity"))

@@ -1,7 +1,7 @@
 """A Bloom filter of keys as a table of bit blocks, tested by a broadcast join before rows are shuffled.
 
 A key sets ``PROBES`` bits of one 64-bit word; ``WORDS`` words are a block, which is a row. The blocks are built by one aggregate over the
-keys, combined before its shuffle, so nothing but the finished filter leaves the executors. Its size follows from the measured number of keys and never
+keys, so nothing but the finished filter leaves the executors. Its size follows from the measured number of keys and never
 exceeds ``MOST_BYTES``; where that leaves fewer than ``LEAST_BITS`` bits a key, no filter is made, since it would let most rows pass.
 No key is lost; some others pass, so an exact join has to follow.
 """
@@ -44,7 +44,8 @@ def filter_of(keys: DataFrame, *key: str, bits: int = BITS, most_bytes: int = MO
     if number * block_bits < LEAST_BITS * count:
         return None
     hashed = F.xxhash64(*key)
-    marked = keys.select(_block(hashed, number).alias("_block"), _word(hashed).alias("_word"), _mask(hashed).alias("_mask"))
+    # blocks follow from a hash, so they are even, and a key travels as three numbers
+    marked = keys.select(_block(hashed, number).alias("_block"), _word(hashed).alias("_word"), _mask(hashed).alias("_mask")).repartition("_block")
     words = [F.bit_or(F.when(F.col("_word") == k, F.col("_mask")).otherwise(F.lit(0).cast("long"))).alias(f"_w{k}") for k in range(WORDS)]
     blocks = marked.groupBy("_block").agg(*words).select("_block", F.array(*[f"_w{k}" for k in range(WORDS)]).alias("_words"))
     return PairFilter(materialize(blocks, "pair-filter"), number)
