@@ -39,6 +39,8 @@ OVERLAP = 0.8
 ITEMS_PER_BLOCK = 16
 INDEX_BYTES = 2 << 20
 HELD_BYTES = 64 << 20
+#: bounds of passages and blocks that are held at a time
+CELLS = 500_000
 _U = np.uint64
 _BITS = 20
 
@@ -248,7 +250,7 @@ def _search(texts: pa.Array, classes: list[LengthClass], score: float, overlap:
     counts = np.diff(starts)
     text_of_word = np.repeat(np.arange(len(counts)), counts)
     inside = np.arange(len(words)) - starts[:-1][text_of_word]
-    best: dict[tuple[int, object], tuple[float, float, float]] = {}
+    hits: list[tuple] = []
     for own in classes:
         half = own.longest
         place, term = own.lookup(words)
@@ -267,26 +269,42 @@ def _search(texts: pa.Array, classes: list[LengthClass], score: float, overlap:
         # first bound: the highest impact of each word in any item
         sums = np.bincount(where, weights=own.term_max[term], minlength=n_halves)
         pair = sums + np.where(last, 0, np.append(sums[1:], 0))
-        for h in np.flatnonzero(pair >= score * (1 - 1e-5)).tolist():
-            stop = h if last[h] else h + 1
-            terms = term[ends[h]: ends[stop + 1]]
-            if stop > h:
-                terms = np.unique(terms)
+        passed = np.flatnonzero(pair >= score * (1 - 1e-5))
+        slab = max(1, CELLS // max(own.blocks, 1))
+        for first in range(0, len(passed), slab):
+            some = passed[first: first + slab]
+            # the distinct terms of each passage that is left
+            low, high = ends[some], ends[np.where(last[some], some, some + 1) + 1]
+            keys = np.unique(np.repeat(np.arange(len(some)), high - low) * len(own.terms) + term[_ranges(low, high)])
+            holder, held = np.divmod(keys, len(own.terms))
             # second bound: the highest impact of each word in each block of items
-            for item, reached in own.candidates(terms, score):
-                text = int(np.searchsorted(first_half, h, side="right")) - 1
-                begin = int(starts[text]) + (h - int(first_half[text])) * half
-                part = words[begin: min(begin + 2 * half, int(starts[text + 1]))]
-                shingles, _ = W.shingles(part, np.array([0, len(part)]))
-                question = np.isin(own.questions[item], shingles).mean()
-                answer = np.isin(own.answers[item], part).mean() if len(own.answers[item]) else 1.0
-                if question >= overlap and answer >= overlap:
-                    key = (text, own.items[item])
-                    found = (reached, float(question), float(answer))
-                    best[key] = max(best.get(key, found), found)
+            entry = _ranges(own.entries[held], own.entries[held + 1])
+            cell = np.repeat(holder, own.entries[held + 1] - own.entries[held]) * own.blocks + own.block[entry]
+            bounds = np.bincount(cell, weights=own.highest[entry], minlength=len(some) * own.blocks).reshape(len(some), own.blocks)
+            reach = np.searchsorted(holder, np.arange(len(some) + 1))
+            for place in np.flatnonzero((bounds >= score * (1 - 1e-5)).any(axis=1)).tolist():
+                hits += _verified(own, int(some[place]), held[reach[place]: reach[place + 1]], words, starts, first_half, score, overlap)
+    best: dict[tuple[int, object], tuple[float, float, float]] = {}
+    for text, item, *found in hits:
+        best[text, item] = max(best.get((text, item), tuple(found)), tuple(found))
     return [(*key, *value) for key, value in sorted(best.items(), key=lambda x: x[0][0])]
 
 
+def _verified(own: LengthClass, h: int, terms: np.ndarray, words: np.ndarray, starts: np.ndarray, first_half: np.ndarray, score: float,
+              overlap: float) -> Iterator[tuple]:
+    """Hits of the passage that begins with half ``h`` and has the given terms."""
+    half = own.longest
+    for item, reached in own.candidates(terms, score):
+        text = int(np.searchsorted(first_half, h, side="right")) - 1
+        begin = int(starts[text]) + (h - int(first_half[text])) * half
+        part = words[begin: min(begin + 2 * half, int(starts[text + 1]))]
+        shingles, _ = W.shingles(part, np.array([0, len(part)]))
+        question = np.isin(own.questions[item], shingles).mean()
+        answer = np.isin(own.answers[item], part).mean() if len(own.answers[item]) else 1.0
+        if question >= overlap and answer >= overlap:
+            yield text, own.items[item], reached, float(question), float(answer)
+
+
 def contaminated(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text", score: float = SCORE,
                  overlap: float = OVERLAP) -> DataFrame:
     """``(doc_id, item_id, score, question_overlap, answer_overlap)`` for every document and test item whose passage it holds.
