@@ -38,13 +38,24 @@ _ODD = re.compile(rf"[^{_LETTERS}{_POINTS}0-9 \n]|[ \n](?:[ \n]|\Z)")
 _CUT = re.compile(rf"(?<={_SURE})(?= {_SURE})")
 
 
+class _Known(dict):
+    """Ids of remembered pieces; others are looked up among those of the batch."""
+
+    def __init__(self):
+        super().__init__()
+        self.once: dict[str, bytes] = {}
+
+    def __missing__(self, piece: str) -> bytes:
+        return self.once[piece]
+
+
 class PieceEncoder:
     """Token ids of texts as little-endian bytes, with a bounded memory of pieces already met."""
 
     def __init__(self, path: str, id_type: str = "<u4"):
         self.id_type = id_type
         self.width = np.dtype(id_type).itemsize
-        self.known: dict[str, bytes] = {}
+        self.known = _Known()
         self.held = 0
         self.specials: list[str] = []
         self.splits = False
@@ -81,17 +92,25 @@ class PieceEncoder:
             yield from self.whole(texts)
             return
         if self.held > REMEMBERED_BYTES:
-            self.known, self.held = {}, 0
+            self.known, self.held = _Known(), 0
         odd: set[str] = set()
         split = [self.pieces_of(text, odd) for text in texts]
         missing = set().union(*split).difference(self.known)
-        # pieces that hardly come again are known for this batch only
-        alone = [piece for piece in missing if piece in odd or len(piece) > LONGEST]
-        once = dict(zip(alone, self.whole(alone), strict=True))
-        self._learn([piece for piece in missing if piece not in once])
-        get, known = once.get, self.known
+        # long pieces hardly come again: they are known for this batch only
+        long = [piece for piece in missing if len(piece) > LONGEST]
+        self.known.once = dict(zip(long, self.whole(long), strict=True))
+        missing.difference_update(long)
+        alone = list(missing.intersection(odd))
+        self._keep(alone, self.whole(alone))
+        self._learn(list(missing.difference(odd)))
+        get = self.known.__getitem__
         for pieces in split:
-            yield b"".join([known[piece] if piece in known else get(piece) for piece in pieces] if once else map(known.__getitem__, pieces))
+            yield b"".join(map(get, pieces))
+        self.known.once = {}
+
+    def _keep(self, pieces: list[str], ids: list[bytes]) -> None:
+        self.known.update(zip(pieces, ids, strict=True))
+        self.held += PIECE_COST * len(pieces) + sum(map(len, pieces)) + sum(map(len, ids))
 
     def _learn(self, runs: list[str]) -> None:
         """Encode runs as lines of one text: a line end before a run is a piece of its own, so its id parts them."""
@@ -103,12 +122,11 @@ class PieceEncoder:
             ids = np.frombuffer(self.whole(["\n".join(lines)])[0], self.id_type)
             cuts = np.flatnonzero(ids == np.frombuffer(self.known["\n"], self.id_type)[0]) * self.width
             if len(cuts) != len(lines) - 1:  # a vocabulary in which the line end is more than one id, or merges
-                self.known.update(zip(lines, self.whole(lines), strict=True))
+                self._keep(lines, self.whole(lines))
             else:
                 data = ids.tobytes()
                 begin, end = [0, *(cuts + self.width).tolist()], [*cuts.tolist(), len(data)]
-                self.known.update({line: data[a:b] for line, a, b in zip(lines, begin, end, strict=True)})
-            self.held += PIECE_COST * len(lines) + sum(map(len, lines)) + len(ids) * self.width
+                self._keep(lines, [data[a:b] for a, b in zip(begin, end, strict=True)])
 
     def pieces_of(self, text: str, odd: set[str]) -> list[str]:
         """The text in pieces between places where the pattern is certain to cut; those that are not plain runs go to ``odd`` too."""
