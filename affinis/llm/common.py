@@ -100,6 +100,14 @@ def running_totals(df: DataFrame, group: list[str], bucket: str, order: list[str
     return joined.drop(*[f"_start_{n}" for n in values.values()])
 
 
+FILE_ROWS = 100_000
+
+
+def _files(rows: int) -> int:
+    """Files for a small table of so many rows: rounds over few links shouldn't make a task for every shuffle partition."""
+    return max(1, -(-rows // FILE_ROWS))
+
+
 def components(edges: DataFrame) -> DataFrame:
     """``(node, label)`` for every node of the undirected ``edges (a, b)``; the label is the least node of its component.
 
@@ -107,7 +115,9 @@ def components(edges: DataFrame) -> DataFrame:
     many neighbours is never collected. Every round is stored. It ends when a round changes nothing.
     """
     a, b = F.col("a"), F.col("b")
-    edges = materialize(edges.select(F.greatest(a, b).alias("a"), F.least(a, b).alias("b")).where(a != b).distinct(), "links")
+    files = _files(edges.count())
+    edges = edges.select(F.greatest(a, b).alias("a"), F.least(a, b).alias("b")).where(a != b).distinct()
+    edges = materialize(edges.coalesce(files), "links")
     before = _state(edges)
     while True:
         # large star: neighbours above a node go to the least one around it
@@ -116,10 +126,10 @@ def components(edges: DataFrame) -> DataFrame:
         large = both.join(least, "a").where(b > a).select(b.alias("a"), F.col("m").alias("b"))
         large = large.unionByName(least.where(a > F.col("m")).select("a", F.col("m").alias("b"))).distinct()
         # small star: neighbours below a node, and the node, go to the least of them
-        large = materialize(large, "large-star")
+        large = materialize(large.coalesce(files), "large-star")
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(least, "a").where(b != F.col("m")).select(b.alias("a"), F.col("m").alias("b"))
-        small = materialize(small.unionByName(least.select("a", F.col("m").alias("b"))).distinct(), "small-star")
+        small = materialize(small.unionByName(least.select("a", F.col("m").alias("b"))).distinct().coalesce(files), "small-star")
         after = _state(small)
         if after == before:
             break
@@ -130,19 +140,20 @@ def components(edges: DataFrame) -> DataFrame:
 
 def merged_components(labels: DataFrame, edges: DataFrame) -> DataFrame:
     """``labels (node, label)`` after adding the ``edges (a, b)``; only the classes that these join are worked on."""
-    if edges.isEmpty():
+    count = edges.count()
+    if not count:
         return labels
     for side in "ab":
         known = labels.select(F.col("node").alias(side), F.col("label").alias(f"label_{side}"))
         edges = edges.join(known, side, "left")
-    edges = materialize(edges.select("a", "b", *[F.coalesce(f"label_{x}", x).alias(f"label_{x}") for x in "ab"]), "new-links")
+    edges = materialize(edges.select("a", "b", *[F.coalesce(f"label_{x}", x).alias(f"label_{x}") for x in "ab"]).coalesce(_files(count)), "new-links")
     joined = components(edges.select(F.col("label_a").alias("a"), F.col("label_b").alias("b")))
     joined = joined.select(F.col("node").alias("label"), F.col("label").alias("least"))
     nodes = labels
     for side in "ab":
         nodes = nodes.unionByName(edges.select(F.col(side).alias("node"), F.col(f"label_{side}").alias("label")))
     nodes = nodes.distinct().join(joined, "label", "left").select("node", F.coalesce("least", "label").alias("label"))
-    return materialize(nodes, "labels")
+    return materialize(nodes.coalesce(_files(labels.count() + 2 * count)), "labels")
 
 
 def _state(edges: DataFrame) -> tuple:
