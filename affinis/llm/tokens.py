@@ -23,7 +23,7 @@ from affinis.llm import words as W
 from affinis.llm.common import text_of
 
 #: bytes that a Python worker keeps for pieces, about; beyond it the memory starts anew
-REMEMBERED_BYTES = 96 << 20
+REMEMBERED_BYTES = 176 << 20
 #: what a remembered piece takes besides its characters and ids, and the longest one that is kept
 PIECE_COST, LONGEST = 200, 64
 BATCH_BYTES = 1 << 20
