@@ -22,31 +22,57 @@ from pyspark.sql import functions as F
 from affinis.llm import words as W
 from affinis.llm.common import text_of
 
-#: bytes that a Python worker keeps for pieces, about; beyond it the memory starts anew
-REMEMBERED_BYTES = 176 << 20
+#: bytes that a Python worker keeps for pieces, about; half of them for pieces that were met once so far
+REMEMBERED_BYTES = 72 << 20
 #: what a remembered piece takes besides its characters and ids, and the longest one that is kept
 PIECE_COST, LONGEST = 200, 64
-BATCH_BYTES = 1 << 20
+BATCH_BYTES = 1 << 19
 OVER = 512
 
 _LETTERS = "A-Za-zÀ-ÖØ-öø-ɏ"
 _POINTS = r"!-&(-/:-@\[-`{-~"
 _SURE = "[!-~¡-ɏ]"
-#: the pattern's cuts in a text of which _ODD finds nothing
+#: the pattern's cuts in a text that these runs cover, see _plain_runs
 _RUNS = re.compile(rf" ?[{_LETTERS}]+| ?[{_POINTS}]+| ?[0-9]+|\n")
-_ODD = re.compile(rf"[^{_LETTERS}{_POINTS}0-9 \n]|[ \n](?:[ \n]|\Z)")
 _CUT = re.compile(rf"(?<={_SURE})(?= {_SURE})")
 
 
 class _Known(dict):
-    """Ids of remembered pieces; others are looked up among those of the batch."""
+    """Ids of pieces that were met in at least two batches; ``new`` has those of one, which move here when they are met again.
+
+    A piece that neither holds gives None and goes to ``missing``; ``once`` has those of the batch that are not to be kept.
+    """
 
     def __init__(self):
         super().__init__()
+        self.new: dict[str, bytes] = {}
+        self.held = self.held_new = 0
+        self.missing: set[str] = set()
         self.once: dict[str, bytes] = {}
 
-    def __missing__(self, piece: str) -> bytes:
-        return self.once[piece]
+    def __missing__(self, piece: str) -> bytes | None:
+        ids = self.new.pop(piece, None)
+        if ids is None:
+            self.missing.add(piece)
+        else:
+            self[piece] = ids
+            cost = PIECE_COST + len(piece) + len(ids)
+            self.held += cost
+            self.held_new -= cost
+        return ids
+
+    def keep(self, pieces: list[str], ids: list[bytes]) -> None:
+        self.new.update(zip(pieces, ids, strict=True))
+        self.held_new += PIECE_COST * len(pieces) + sum(map(len, pieces)) + sum(map(len, ids))
+
+    def forget(self, most: int) -> None:
+        """Either half of ``most`` bytes is bounded: too many pieces met again count as new ones, too many new ones are dropped."""
+        if self.held > most // 2:
+            self.new, self.held_new = dict(self), self.held
+            self.clear()
+            self.held = 0
+        elif self.held_new > most // 2:
+            self.new, self.held_new = {}, 0
 
 
 class PieceEncoder:
@@ -56,7 +82,6 @@ class PieceEncoder:
         self.id_type = id_type
         self.width = np.dtype(id_type).itemsize
         self.known = _Known()
-        self.held = 0
         self.specials: list[str] = []
         self.splits = False
         if path.endswith(".model"):
@@ -77,6 +102,11 @@ class PieceEncoder:
                        and not layout["model"].get("dropout"))
         self.specials = [t["content"] for t in layout.get("added_tokens") or ()]
 
+    @property
+    def held(self) -> int:
+        """Bytes of all remembered pieces, about."""
+        return self.known.held + self.known.held_new
+
     def whole(self, texts: list[str]) -> list[bytes]:
         """Ids of each text in one call of the library for all."""
         if not texts:
@@ -91,60 +121,71 @@ class PieceEncoder:
         if not self.splits:
             yield from self.whole(texts)
             return
-        if self.held > REMEMBERED_BYTES:
-            self.known, self.held = _Known(), 0
-        odd: set[str] = set()
-        split = [self.pieces_of(text, odd) for text in texts]
-        missing = set().union(*split).difference(self.known)
+        known, odd = self.known, set()
+        known.forget(REMEMBERED_BYTES)
+        get = known.__getitem__
+        found = []
+        for text in texts:
+            pieces = self.pieces_of(text, odd)
+            found.append((pieces, list(map(get, pieces))))
+        missing, known.missing = known.missing, set()
         # long pieces hardly come again: they are known for this batch only
         long = [piece for piece in missing if len(piece) > LONGEST]
-        self.known.once = dict(zip(long, self.whole(long), strict=True))
+        known.once = dict(zip(long, self.whole(long), strict=True))
         missing.difference_update(long)
         alone = list(missing.intersection(odd))
-        self._keep(alone, self.whole(alone))
+        known.keep(alone, self.whole(alone))
         self._learn(list(missing.difference(odd)))
-        get = self.known.__getitem__
-        for pieces in split:
-            yield b"".join(map(get, pieces))
-        self.known.once = {}
-
-    def _keep(self, pieces: list[str], ids: list[bytes]) -> None:
-        self.known.update(zip(pieces, ids, strict=True))
-        self.held += PIECE_COST * len(pieces) + sum(map(len, pieces)) + sum(map(len, ids))
+        for pieces, ids in found:
+            if None in ids:
+                ids = [x if x is not None else known.once[piece] if piece in known.once else known.new[piece] for piece, x in zip(pieces, ids, strict=True)]
+            yield b"".join(ids)
+        known.once = {}
 
     def _learn(self, runs: list[str]) -> None:
         """Encode runs as lines of one text: a line end before a run is a piece of its own, so its id parts them."""
-        if "\n" in runs or "\n" not in self.known:
-            self.known["\n"] = self.whole(["\n"])[0]
+        if "\n" in runs:
+            self.known.keep(["\n"], self.whole(["\n"]))
             runs = [run for run in runs if run != "\n"]
+        line = self.whole(["\n"])[0] if runs else b""
         for i in range(0, len(runs), 5000):
             lines = runs[i: i + 5000]
             ids = np.frombuffer(self.whole(["\n".join(lines)])[0], self.id_type)
-            cuts = np.flatnonzero(ids == np.frombuffer(self.known["\n"], self.id_type)[0]) * self.width
+            cuts = np.flatnonzero(ids == np.frombuffer(line, self.id_type)[0]) * self.width
             if len(cuts) != len(lines) - 1:  # a vocabulary in which the line end is more than one id, or merges
-                self._keep(lines, self.whole(lines))
+                self.known.keep(lines, self.whole(lines))
             else:
                 data = ids.tobytes()
                 begin, end = [0, *(cuts + self.width).tolist()], [*cuts.tolist(), len(data)]
-                self._keep(lines, [data[a:b] for a, b in zip(begin, end, strict=True)])
+                self.known.keep(lines, [data[a:b] for a, b in zip(begin, end, strict=True)])
 
     def pieces_of(self, text: str, odd: set[str]) -> list[str]:
         """The text in pieces between places where the pattern is certain to cut; those that are not plain runs go to ``odd`` too."""
         if any(s in text for s in self.specials):
             odd.add(text)
             return [text]
-        if not _ODD.search(text):
-            return _RUNS.findall(text)
+        runs = _plain_runs(text)
+        if runs is not None:
+            return runs
         pieces = []
         for part in _CUT.split(text):
-            if _ODD.search(part):
+            runs = _plain_runs(part)
+            if runs is None:
                 odd.add(part)
                 pieces.append(part)
             else:
-                pieces += _RUNS.findall(part)
+                pieces += runs
         return pieces
 
 
+def _plain_runs(text: str) -> list[str] | None:
+    """The runs of a text that has nothing else, or None: it has another character, or white space before white space or the end."""
+    runs = _RUNS.findall(text)
+    if sum(map(len, runs)) < len(text) or text.endswith("\n") or "\n\n" in text or "\n " in text:
+        return None
+    return runs
+
+
 _ENCODERS: dict[tuple[str, str], PieceEncoder] = {}
 
 
