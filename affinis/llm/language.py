@@ -30,6 +30,7 @@ from pyspark.sql import types as T
 
 from affinis.llm import words as W
 from affinis.llm.common import text_of, unused
+from affinis.llm.tokens import release
 from affinis.operators.staging import materialize
 
 TRAIN_ROWS = 4000
@@ -147,6 +148,7 @@ def _with_evidence(records: DataFrame, text: str, evidence: str, model: Language
     shared = records.sparkSession.sparkContext.broadcast(model)  # 2**GRAM_BITS rows, a column a language
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         for batch in batches:
             texts = W.plain(batch.column(text))
             for i, j in W.chunks(texts):

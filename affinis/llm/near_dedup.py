@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 
 from affinis.llm import words as W
 from affinis.llm.common import components, fingerprint, merged_components, text_of, unused
+from affinis.llm.tokens import release
 from affinis.operators.staging import materialize, self_pairs, spread_join
 
 THRESHOLD = 0.8
@@ -101,6 +102,7 @@ def _signed(x: np.ndarray) -> pa.Array:
 
 def _sketcher(bands: int, rows: int):
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         for batch in batches:
             texts = W.plain(batch.column("text"))
             for i, j in W.chunks(texts):

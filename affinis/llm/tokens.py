@@ -199,6 +199,11 @@ def encoder(path: str, id_type: str = "<u4") -> PieceEncoder:
     return _ENCODERS[path, id_type]
 
 
+def release() -> None:
+    """Give back what the worker's encoders remember: workers are used again by stages that don't encode."""
+    _ENCODERS.clear()
+
+
 def token_counts(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text", over: int = OVER) -> DataFrame:
     """``(doc_id, n_bytes, n_tokens, over_limit)`` for every row of ``docs``.
 

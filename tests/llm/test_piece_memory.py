@@ -7,7 +7,7 @@ import random
 import public_tokenizers
 from tokenizers import Tokenizer
 
-from affinis.llm import tokens
+from affinis.llm import near_dedup, tokens
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -31,3 +31,10 @@ def test_white_space_anywhere_is_read_as_by_the_library():
         text = "".join(draw.choice(["a", "Wort", "7", "!", " ", "\n", "  ", "\t", "'s", "é", "я", " ", "<s>"]) for _ in range(draw.randint(0, 9)))
         ids = library.encode(text, add_special_tokens=False).ids
         assert next(iter(own.ids([text]))) == b"".join(x.to_bytes(4, "little") for x in ids), repr(text)
+
+
+def test_a_stage_that_does_not_encode_gives_back_what_the_encoders_remember(monkeypatch):
+    monkeypatch.setattr(tokens, "_ENCODERS", {})
+    list(tokens.encoder(TOKENIZER).ids(["some words"]))
+    list(near_dedup._sketcher(2, 2)(iter(())))
+    assert not tokens._ENCODERS
