@@ -136,7 +136,7 @@ def repeat_rows(df: DataFrame, largest: int, chunk: int = 100_000) -> DataFrame:
 
 @dataclass(frozen=True)
 class AskedPairs:
-    """Wanted pairs as ``bundles`` (a, bs), their ``number``, at least the largest number of an item's, and that of each item (item, pairs)."""
+    """Wanted pairs as ``bundles`` of single_bundles or crossed_bundles, their ``number``, at least the largest number of an item's, and that of each item (item, pairs)."""
 
     bundles: DataFrame
     number: float
@@ -182,7 +182,7 @@ def co_rating_sums(rated: DataFrame, wanted: DataFrame | None, heavy_profile: in
             paired = paired.unionByName(single_bundles(others, carry, kinds))
     if wanted is not None:
         paired = paired.withColumn("_wanted", F.lit(False)).unionByName(
-            asked.bundles.select("a", "bs", F.lit(True).alias("_wanted")), allowMissingColumns=True)
+            asked.bundles.withColumn("_wanted", F.lit(True)), allowMissingColumns=True)
         made += asked.number
     types = {x: t for x, t in rows.dtypes}
     rows = unfolded(paired, carry, types, made, _loads(rated, asked, HOT_BLOCKS * block), HOT_BLOCKS * block)
@@ -437,6 +437,6 @@ def _asked_pairs(rated: DataFrame, open_pairs: DataFrame, heavy_profile: int, bl
         loose = spread_join(materialize(few[0], "busy-open"), materialize(few[1].withColumnRenamed("item", "other"), "busy-rated"), ["user"], block=block)
         loose = loose.select(F.least("item", "other").alias("a"), F.greatest("item", "other").alias("b"))
     item = F.col("item").cast(kinds["item"])
-    bundles = crossed_bundles(*[x.groupBy("user").agg(F.collect_list(item).alias("items")) for x in sides])
+    bundles = crossed_bundles(*[x.groupBy("user").agg(F.collect_list(item).alias("items")) for x in sides], kinds["item"])
     bundles = bundles if loose is None else bundles.unionByName(single_bundles(loose, (), kinds))
     return AskedPairs(bundles, number or 0.0, bound, by_item)

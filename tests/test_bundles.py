@@ -84,3 +84,24 @@ def test_narrowest_types(spark):
     found = bundles.narrowest(rows, ("a", "b", "c", "d", "e"))
     assert found == {"a": "tinyint", "b": "smallint", "c": "bigint", "d": "string", "e": "tinyint"}
     assert bundles.narrowest(rows.where(F.lit(False)), ("a",)) == {"a": "tinyint"}
+
+
+def test_items_of_32_bits_travel_as_halves(spark):
+    items = [-(1 << 31), -65_537, -32_769, -1, 0, 32_767, 32_768, 65_535, 65_536, (1 << 31) - 1]
+    rows = spark.createDataFrame([(1, j, n % 5) for n, j in enumerate(items)], "user bigint, item bigint, rating bigint")
+    kinds = bundles.narrowest(rows, ("item", "rating"))
+    whole = {(x, y) for x in items for y in items if x < y}
+    pairs = spark.createDataFrame([(x, y, 0, 0) for x, y in sorted(whole)], "a bigint, b bigint, rating_a bigint, rating_b bigint")
+    lists = spark.createDataFrame([(1, items)], "user bigint, items array<int>")
+    types = dict(rows.dtypes)
+    for found, carry in ((bundles.profile_bundles(rows, ("rating",), kinds), ("rating",)), (bundles.single_bundles(pairs, ("rating",), kinds), ("rating",)),
+                         (bundles.crossed_bundles(lists, lists, kinds["item"]), ())):
+        assert dict(found.dtypes)["bs"] == dict(found.dtypes)["_high_bs"] == "array<smallint>"
+        for load in (None, 4):
+            loads = rows.select("item", F.lit(9.0).alias("load")) if load else None
+            opened = bundles.unfolded(found, carry, types, 45.0, loads, load or 100).collect()
+            assert {(r.a, r.b) for r in opened} == whole
+            assert len(opened) == (len(whole) if carry else 2 * len(whole))
+    rated = {(r.a, r.b): (r.rating_a, r.rating_b) for r in bundles.unfolded(
+        bundles.profile_bundles(rows, ("rating",), kinds), ("rating",), types, 45.0, None, 100).collect()}
+    assert rated == {(x, y): (items.index(x) % 5, items.index(y) % 5) for x, y in whole}
