@@ -105,3 +105,17 @@ def test_items_of_32_bits_travel_as_halves(spark):
     rated = {(r.a, r.b): (r.rating_a, r.rating_b) for r in bundles.unfolded(
         bundles.profile_bundles(rows, ("rating",), kinds), ("rating",), types, 45.0, None, 100).collect()}
     assert rated == {(x, y): (items.index(x) % 5, items.index(y) % 5) for x, y in whole}
+
+
+def test_hybrid_weight_reads_the_profiles_that_prediction_stored(spark, monkeypatch):
+    from affinis.operators import hybrid
+
+    train, tests = table(spark, numbered(6)), spark.createDataFrame([(u, i) for u in (1, 2, 999, 1000) for i in (1, 19)], "u bigint, i bigint")
+    alone = sorted(map(tuple, af.hybrid_weight(train, tests, C).collect()))
+    read, plain = [], hybrid.profile_sizes
+    monkeypatch.setattr(hybrid, "profile_sizes", lambda rated: read.append(rated) or plain(rated))
+    with af.shared_tables():
+        assert sorted(map(tuple, af.hybrid_weight(train, tests, C).collect())) == alone and not read
+        af.predict_item_cf(train, tests, C, distinct=True)
+        found = sorted(map(tuple, af.hybrid_weight(train, tests, C).collect()))
+    assert found == alone and len(read) == 1
